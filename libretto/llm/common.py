@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def batches(frame: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
     for batch in frame:
         if not batch.num_rows:
             continue
-        size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         total, start = np.cumsum(size), 0
         while start < len(size):
             before = total[start - 1] if start else 0

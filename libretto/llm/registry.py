@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm import tokens, urls
+from libretto.llm import licences, tokens, topk, urls
 from libretto.llm.common import table
 
 
@@ -31,6 +31,16 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.topk(rows, F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scanned(docs).select("doc_id", "licence", "score", "first_line", "n_lines")
+
+
 def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
@@ -60,12 +70,44 @@ SELECT page_id, host, path, {case('host', 'path', lambda h, p, v: h + p)} AS rul
 FROM judged"""
 
 
+OP9_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def op10_sql() -> str:
+    def grams(ws: str) -> str:
+        pairs = f"list_distinct(list_transform(range(1, len({ws})), lambda i: {ws}[i] || ' ' || {ws}[i + 1]))"
+        return f"CASE WHEN len({ws}) = 1 THEN {ws} ELSE {pairs} END"
+
+    def found(text: str) -> str:
+        return f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+(?:\\.[0-9]+)*')"
+
+    rows = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in sorted(licences.TEMPLATES.items()))
+    return f"""
+WITH t AS (SELECT name, {grams('ws')} AS g FROM (SELECT name, {found('body')} AS ws FROM (VALUES {rows}) x(name, body))),
+d AS (SELECT doc_id, row_number() OVER () AS row, regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n') AS ls FROM documents),
+w AS (SELECT row, i - 1 AS first_line, n AS n_lines, {found("array_to_string(ls[i : i + n - 1], chr(10))")} AS ws
+    FROM (SELECT row, ls, unnest(range(1, len(ls) + 1)) AS i FROM d), range(1, {licences.LINES + 1}) r(n) WHERE i + n - 1 <= len(ls)),
+g AS (SELECT row, first_line, n_lines, {grams('ws')} AS g FROM w WHERE len(ws) > 0),
+s AS (SELECT row, first_line, n_lines, name, 2 * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS score FROM g, t
+    WHERE 2 * least(len(g.g), len(t.g)) >= {licences.THRESHOLD} * (len(g.g) + len(t.g))),
+b AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, name, first_line, n_lines) AS k FROM s WHERE score >= {licences.THRESHOLD})
+SELECT doc_id, name AS licence, score, first_line::INTEGER AS first_line, n_lines::INTEGER AS n_lines FROM d LEFT JOIN (SELECT * FROM b WHERE k = 1) USING (row)"""
+
+
 def queries() -> dict:
     return {
         "op2_sentencepiece": op2_sentencepiece,
         "op5_url_filter": op5_url_filter,
+        "op9_topk": op9_topk,
+        "op10_licences": op10_licences,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": op5_sql()}
+    return {"op5_url_filter": op5_sql(), "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
