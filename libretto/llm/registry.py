@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm import licences, tokens, topk, urls
+from libretto.llm import langid, licences, mixing, tokens, topk, urls
 from libretto.llm.common import table
 
 
@@ -31,6 +31,20 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = mixing.mixed(docs, F.array("source"), mixing.words_of(F.col("text")))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
+    model = langid.trained(docs, ~held_out)
+    out = langid.predicted(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.topk(rows, F.pmod("vec_id", F.lit(50)) == 0, k=5)
@@ -70,6 +84,22 @@ SELECT page_id, host, path, {case('host', 'path', lambda h, p, v: h + p)} AS rul
 FROM judged"""
 
 
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '') || ':{mixing.SEED}') AS o FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS held FROM d GROUP BY source),
+n AS (SELECT *, 1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS w FROM s),
+c AS (SELECT *, row_number() OVER (ORDER BY held / w, source) AS pos FROM n),
+l AS (SELECT *, sum(held) OVER () - coalesce(sum(3 * held) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
+    sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS den FROM c),
+k AS (SELECT pos AS lowest, num, den FROM l WHERE num * w <= 3 * held * den ORDER BY pos LIMIT 1),
+t AS (SELECT source, held, CASE WHEN pos < lowest THEN (3 * held)::DOUBLE ELSE (k.num * w)::DOUBLE / k.den::DOUBLE END AS target FROM l, k),
+q AS (SELECT source, held, target, round_even(target, 0)::BIGINT AS quota FROM t),
+r AS (SELECT d.*, held AS source_size, target, quota // greatest(held, 1) AS times, quota % greatest(held, 1) AS rest,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, (times * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM r"""
+
 OP9_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
@@ -104,10 +134,12 @@ def queries() -> dict:
     return {
         "op2_sentencepiece": op2_sentencepiece,
         "op5_url_filter": op5_url_filter,
+        "op6_mixing": op6_mixing,
+        "op8_langid": op8_langid,
         "op9_topk": op9_topk,
         "op10_licences": op10_licences,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": op5_sql(), "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
+    return {"op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
