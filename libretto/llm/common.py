@@ -122,3 +122,34 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
 
 
+
+
+def block_units(df: DataFrame, group: str, chunks: str, salt: list[str]) -> DataFrame:
+    """Deal each group to units (group, a, b), a <= b, so that every pair of its rows meets in one unit.
+
+    A group is cut into as many chunks as column `chunks` says; a row goes to its own chunk (column
+    _own, by hash of `salt`) paired with each chunk of its group. A unit of a chunk with itself
+    holds that chunk alone; a unit of two holds both, and only pairs across count there.
+    """
+    own = F.pmod(F.xxhash64(*salt), F.col(chunks)).cast("int")
+    rows = df.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(chunks).cast("int") - 1)))
+    rows = rows.withColumn("_a", F.least("_own", "_other")).withColumn("_b", F.greatest("_own", "_other")).drop("_other")
+    n = partitions(df.sparkSession)
+    return rows.repartition(n, group, "_a", "_b").sortWithinPartitions(group, "_a", "_b")
+
+
+def forest(n: int, left, right):
+    """Root (smallest index reached) of each of n nodes joined by the pairs (left, right)."""
+    root = list(range(n))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(left, right, strict=True):
+        a, b = find(int(i)), find(int(j))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm import langid, licences, mixing, tokens, topk, urls
+from libretto.llm import langid, licences, mixing, tokens, topk, urls, vectors
 from libretto.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return urls.filtered(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -133,6 +137,7 @@ SELECT doc_id, name AS licence, score, first_line::INTEGER AS first_line, n_line
 def queries() -> dict:
     return {
         "op2_sentencepiece": op2_sentencepiece,
+        "op4_embedding_neardup": op4_embedding_neardup,
         "op5_url_filter": op5_url_filter,
         "op6_mixing": op6_mixing,
         "op8_langid": op8_langid,
