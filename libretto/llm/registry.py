@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm import langid, licences, mixing, tokens, topk, urls, vectors
+from libretto.llm import langid, licences, mixing, suffixes, tokens, topk, urls, vectors
 from libretto.llm.common import table
 
 
@@ -26,6 +26,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    kept = F.coalesce(F.sha2("kept", 256), "sha256")
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), kept.alias("kept_sha256"))
+
+
 def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.linked(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -137,6 +144,7 @@ SELECT doc_id, name AS licence, score, first_line::INTEGER AS first_line, n_line
 def queries() -> dict:
     return {
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_embedding_neardup": op4_embedding_neardup,
         "op5_url_filter": op5_url_filter,
         "op6_mixing": op6_mixing,
