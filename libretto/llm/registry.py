@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm import langid, licences, mixing, suffixes, tokens, topk, urls, vectors
+from libretto.llm import langid, licences, mixing, substrings, suffixes, tokens, topk, urls, vectors
 from libretto.llm.common import table
 
 
@@ -15,6 +15,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    kept = F.coalesce(F.sha2("kept", 256), "sha256")
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), kept.alias("kept_sha256"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = tokens.encoded(docs, piece_model())
@@ -95,6 +102,16 @@ SELECT page_id, host, path, {case('host', 'path', lambda h, p, v: h + p)} AS rul
 FROM judged"""
 
 
+OP1_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws, row_number() OVER () AS row FROM documents),
+w AS (SELECT row, doc_id, i, sha256(array_to_string(ws[i : i + 49], ' ')) AS h FROM (SELECT row, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d)),
+m AS (SELECT h, min(doc_id) AS low FROM w GROUP BY h),
+g AS (SELECT DISTINCT row, i + j AS i FROM w JOIN m USING (h), range(0, 50) r(j) WHERE doc_id > low),
+l AS (SELECT row, list(i) AS gone FROM g GROUP BY row),
+k AS (SELECT doc_id, ws, coalesce(len(gone), 0) AS n, CASE WHEN gone IS NULL THEN ws
+    ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END AS kept FROM d LEFT JOIN l USING (row))
+SELECT doc_id, len(ws)::BIGINT AS n_words, n::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
+
 OP6_SQL = f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
     md5(coalesce(doc_id::VARCHAR, '') || ':{mixing.SEED}') AS o FROM documents),
@@ -143,6 +160,7 @@ SELECT doc_id, name AS licence, score, first_line::INTEGER AS first_line, n_line
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_embedding_neardup": op4_embedding_neardup,
@@ -155,4 +173,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
+    return {"op1_substring_dedup": OP1_SQL, "op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
