@@ -1,10 +1,82 @@
-"""Placeholder until the stages' operators are in place."""
+"""A training-data pipeline over `documents`, stage by stage with the operators of libretto.llm.
+
+Each stage takes (spark, docs, sf_dir) and returns what it keeps, in the columns of docs; run()
+writes each stage's rows to the shared folder and hands them to the next. The last stage adds the
+tokens. Columns that docs has beside those of `documents` travel along, whatever their names.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from libretto.llm import jaccard, langid, mixing, suffixes, tokens
+from libretto.llm.common import stored
+from libretto.llm.registry import piece_model
+
+#: A text whose language is this uncertain is rejected.
+LEAST_SCORE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without letters, and those whose words agree on no language, go."""
+    model = langid.trained(docs, F.lit(True))
+    out = langid.predicted(docs, model, added=("_lang_pred", "_lang_score", "_lang_spans"))
+    return out.where((F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of the documents that links connect, the one with the smallest id stays, once; so do rows without an id."""
+    kept = jaccard.linked(docs.select("doc_id", "text")).where("doc_id = class_id").select("doc_id").distinct()
+    one = Window.partitionBy("doc_id", "_x").orderBy("doc_id")
+    found = docs.withColumn("_x", F.xxhash64("text")).join(kept, "doc_id", "left_semi")
+    found = found.withColumn("_k", F.row_number().over(one)).where("_k = 1")
+    return found.select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that stand earlier in the corpus are cut out of texts; documents with nothing left go."""
+    changed = suffixes.deduplicated(docs.select("doc_id", "text")).where("kept is not null")
+    changed = changed.select(F.col("doc_id").alias("_id"), F.col("x").alias("_x2"), F.col("kept_text").alias("_kept")).dropDuplicates(["_id", "_x2"])
+    x = F.xxhash64(F.coalesce("text", F.lit("")))
+    found = docs.withColumn("_x", x).join(changed, (F.col("doc_id") == F.col("_id")) & (F.col("_x") == F.col("_x2")), "left")
+    found = found.where("_kept is null or length(trim(_kept)) > 0")
+    new = {"text": F.coalesce("_kept", "text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast("long"))}
+    return found.withColumns({k: v for k, v in new.items() if k in docs.columns}).select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents as often as the mix takes them; rows alike in id and text are taken alike."""
+    mix = mixing.mixed(docs.select("doc_id", "text", "source"), F.array("source"), mixing.words_of(F.col("text")), whole=True)
+    times = mix.where("taken > 0").groupBy(F.col("doc_id").alias("_id"), "_text_hash").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    found = docs.withColumn("_x", F.xxhash64("text")).join(times, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_text_hash")))
+    return found.withColumn("_t", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds ids (the text's SentencePiece ids), n_tokens and round_trips (whether the ids decode to the text)."""
+    added = ("ids", "n_tokens", "round_trips")
+    out = tokens.encoded(docs, piece_model(), ids="_ids", decoded="_decoded")
+    whole = F.col("_decoded") == F.coalesce("text", F.lit(""))
+    return out.select(*(c for c in docs.columns if c not in added), F.col("_ids").alias("ids"), F.size("_ids").cast("long").alias("n_tokens"), whole.alias("round_trips"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mixture", mixture),
+    ("tokenised", tokenised),
+]
+
+#: A learned labeller, MinHash and a suffix sort are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs)
+    return docs

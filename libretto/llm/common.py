@@ -119,7 +119,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
-    return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
+    return e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), "v")).groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 

@@ -283,12 +283,14 @@ def trained(df: DataFrame, usable: Column, text: str = "text", lang: str = "lang
     return Model(labels).fit([(t, at[x]) for t, x in rows])
 
 
-def predicted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """df with lang_pred, score and spans: array of (lang, first word, words) over the text's words."""
-    added = ("lang_pred", "score", "spans")
+def predicted(df: DataFrame, model: Model, text: str = "text", added: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
+    """df with lang_pred, score and spans: array of (lang, first word, words) over the text's words.
+
+    added: the new columns' names; columns of df that have these names are replaced.
+    """
     span = StructType([StructField("lang", StringType()), StructField("first", IntegerType()), StructField("words", IntegerType())])
     keep = [c for c in df.columns if c not in added]
-    schema = df.select(keep).schema.add("lang_pred", StringType()).add("score", DoubleType()).add("spans", ArrayType(span))
+    schema = df.select(keep).schema.add(added[0], StringType()).add(added[1], DoubleType()).add(added[2], ArrayType(span))
     shared = df.sparkSession.sparkContext.broadcast(model)  # 2^BITS weights a language, at most MOST_LANGUAGES of them
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm import langid, licences, mixing, substrings, suffixes, tokens, topk, urls, vectors
+from libretto.llm import jaccard, langid, licences, mixing, substrings, suffixes, tokens, topk, urls, vectors
 from libretto.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
@@ -128,6 +132,17 @@ r AS (SELECT d.*, held AS source_size, target, quota // greatest(held, 1) AS tim
     FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target, (times * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM r"""
 
+OP7_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS g FROM d),
+u AS (SELECT doc_id, unnest(g) AS x FROM s),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM met JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b WHERE n / (len(p.g) + len(q.g) - n) >= 0.8),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a)
+SELECT doc_id, coalesce((SELECT count(*) FROM e WHERE a = doc_id), 0)::BIGINT AS n_links,
+    least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS class_id FROM d"""
+
 OP9_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
@@ -166,6 +181,7 @@ def queries() -> dict:
         "op4_embedding_neardup": op4_embedding_neardup,
         "op5_url_filter": op5_url_filter,
         "op6_mixing": op6_mixing,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_langid": op8_langid,
         "op9_topk": op9_topk,
         "op10_licences": op10_licences,
@@ -173,4 +189,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
+    return {"op1_substring_dedup": OP1_SQL, "op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}

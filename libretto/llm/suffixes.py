@@ -161,7 +161,8 @@ def same_text(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFram
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = GRAM, kinds: int = KINDS) -> DataFrame:
     """One row for each row of df: <key>, x (hash of its text), n_bytes, sha256 (of the whole text),
-    spans (array of start, end: the maximal removed runs) and kept (what remains, null if nothing was removed)."""
+    spans (array of start, end: the maximal removed runs), kept (the bytes that remain, null if nothing
+    was removed) and kept_text (kept with the characters that a cut would split left whole)."""
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
     known = stored(firsts(fingerprints(docs, length, k), "n_bytes", length))
@@ -243,8 +244,9 @@ def whole(known: DataFrame, changed: DataFrame, size: str, key: str) -> DataFram
     every = F.array(F.struct(F.lit(0).alias("start"), F.col(size).cast("int").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
     spans = F.when(copy, every).otherwise(F.coalesce("spans", none))
-    kept = F.when(copy, F.lit(b"")).otherwise(F.col("kept"))
-    return out.select(F.col("key").alias(key), "x", size, "sha256", spans.alias("spans"), kept.alias("kept"))
+    kept = F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept")
+    more = [F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")] if "kept_text" in out.columns else []
+    return out.select(F.col("key").alias(key), "x", size, "sha256", spans.alias("spans"), kept, *more)
 
 
 def later(t: pa.Table, length: int, a: int, b: int):
@@ -303,21 +305,32 @@ def classes(pieces, n, length: int):
 
 
 def keep_rest(df: DataFrame, length: int) -> DataFrame:
-    """Rows key, x, spans, kept from text and runs (start, n: strings that go)."""
+    """Rows key, x, spans, kept, kept_text from text and runs (start, n: strings that go)."""
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches(frame, "text"):
-            spans, kept = [], []
+            spans, kept, texts = [], [], []
             for text, runs in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs"), strict=True):
                 start, n = (runs.values.field(i).to_numpy() for i in (0, 1))
                 merged = union(start, start + n + length - 1)
                 spans.append([{"start": a, "end": b} for a, b in merged])
                 ends = [0, *(b for _, b in merged)]
                 kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in merged), len(text)], strict=True)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("x"), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["key", "x", "spans", "kept"])
+                inner = [(s, e) for a, b in merged if (s := boundary(text, a, 1)) < (e := boundary(text, b, -1))]
+                ends = [0, *(b for _, b in inner)]
+                texts.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in inner), len(text)], strict=True)).decode("utf-8", "replace"))
+            columns = [batch.column("key"), batch.column("x"), pa.array(spans, kind), pa.array(kept, pa.binary()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "x", "spans", "kept", "kept_text"])
 
-    return df.mapInArrow(run, "key long, x long, spans array<struct<start:int,end:int>>, kept binary")
+    return df.mapInArrow(run, "key long, x long, spans array<struct<start:int,end:int>>, kept binary, kept_text string")
+
+
+def boundary(text: bytes, at: int, step: int) -> int:
+    """The nearest start of a character at or after (step 1) or at or before (step -1) a byte."""
+    while 0 < at < len(text) and text[at] & 0xC0 == 0x80:
+        at += step
+    return at
 
 
 def union(start, end) -> list[tuple[int, int]]:
