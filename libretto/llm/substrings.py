@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from libretto.llm.common import batches, bucketed, shared_dir, stored
-from libretto.llm.suffixes import firsts, same_text, union, whole
+from libretto.llm.suffixes import firsts, heads_of, same_text, union, whole
 
 LENGTH, GRAM, MOST_RUNS = 50, 26, 8
 RUN = "hash long, key long, x long"
@@ -64,13 +64,14 @@ def fingerprints(df: DataFrame, length: int, k: int) -> DataFrame:
 
 
 class SubstringIndex:
-    """Sorted immutable runs of fingerprints, and the batches of documents they stand for."""
+    """Sorted immutable runs of fingerprints, and the texts of the documents they stand for."""
 
     def __init__(self, spark: SparkSession, length: int = LENGTH, k: int = GRAM, most_runs: int = MOST_RUNS):
         self.spark, self.length, self.k, self.most_runs = spark, length, k, most_runs
         self.folder = f"{shared_dir(spark)}/libretto/index-{uuid.uuid4().hex}"
         self.runs: list[str] = []
-        self.batches: list[DataFrame] = []
+        self.texts: list[DataFrame] = []
+        self.heads: DataFrame | None = None
         self.written = 0
 
     def _write(self, rows: DataFrame) -> str:
@@ -92,32 +93,34 @@ class SubstringIndex:
         all words joined by a space), spans (array of start, end: removed runs of words) and kept
         (the words that remain, joined by a space; null if nothing was removed)."""
         docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
-        known = stored(firsts(fingerprints(docs, self.length, self.k), "n_words", self.length))
-        postings = known.where("key = low").select(F.explode("anchors").alias("hash"), "key", "x")
+        prints = stored(fingerprints(docs, self.length, self.k))
+        known = stored(firsts(prints.drop("anchors"), "n_words", self.length))
+        heads = stored(heads_of(known))
         older = self.runs
-        fresh = self._write(postings)
+        fresh = self._write(prints.where("key is not null").select(F.explode("anchors").alias("hash"), "key", "x"))
         new = self.read([fresh])
-        span = new.groupBy("hash").agg(F.min("key").alias("a"), F.max("key").alias("b"))
+        span = new.groupBy("hash").agg(F.min("x").alias("a"), F.max("x").alias("b"))  # copies of one text have one hash
         if older:
             history = self.read(older)
             met = span.join(history.select("hash").distinct().withColumn("old", F.lit(True)), "hash", "left")
             shared = stored(met.where("old or a < b").select("hash", "old"))
             hits = new.join(shared.select("hash"), "hash").unionByName(history.join(shared.where("old").select("hash"), "hash"))
         else:
-            hits = new.join(span.where("a < b").select("hash"), "hash")
+            hits = new.join(stored(span.where("a < b").select("hash")), "hash")
         self.runs = [*older, fresh]
-        self.batches.append(docs)
+        self.texts.append(docs)
         if len(self.runs) > self.most_runs:
             self.compact()
-        wanted = hits.groupBy("key", "x").agg(F.collect_set("hash").alias("shared"))
-        every = self.batches[0]
-        for more in self.batches[1:]:
+        self.heads = heads if self.heads is None else self.heads.unionByName(heads)
+        wanted = same_text(hits.groupBy("key", "x").agg(F.collect_set("hash").alias("shared")), self.heads)
+        every = self.texts[0]
+        for more in self.texts[1:]:
             every = every.unionByName(more)
-        texts = bucketed(same_text(every, wanted).select("key", "x", "text", "shared"), "key")
-        windows = stored(self._windows(texts))
+        texts = bucketed(same_text(every, wanted).select("key", "x", "v", "text", "shared"), "key")
+        windows = stored(self._windows(texts.select("key", "v", "text", "shared")))
         low = windows.groupBy("w1", "w2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("w1", "w2", "low")
-        covered = windows.join(low, ["w1", "w2"]).where("key > low").groupBy("key", "x").agg(F.collect_set("start").alias("starts"))
-        changed = self._rest(same_text(texts.select("key", "x", "text"), covered))
+        covered = windows.join(stored(low), ["w1", "w2"]).where("key > low").groupBy("key", "v").agg(F.collect_set("start").alias("starts"))
+        changed = self._rest(same_text(texts.select("key", "x", "v", "text"), covered, by="v"))
         return whole(known, changed, "n_words", key)
 
     def _windows(self, texts: DataFrame) -> DataFrame:
@@ -131,18 +134,18 @@ class SubstringIndex:
 
             for batch in batches(frame, "text", 1 << 20):
                 out = []
-                for value, shared, key, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("x").to_pylist(), strict=True):
+                for value, shared, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
                     starts, ends = grams.words(value)
                     symbols = grams.word_hashes(value, starts, ends)
                     at, all_grams = grams.minimisers(symbols, length, k)
                     keep = np.flatnonzero(np.isin(all_grams[at].view(np.int64), shared.values.to_numpy()))
                     if len(keep):
                         w = [grams.windows(symbols, length, lane)[keep].view(np.int64) for lane in (0, 1)]
-                        out.append((*w, np.full(len(keep), key), np.full(len(keep), x), keep.astype(np.int32)))
+                        out.append((*w, np.full(len(keep), key), np.full(len(keep), v, dtype=np.int32), keep.astype(np.int32)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], names=["w1", "w2", "key", "x", "start"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], names=["w1", "w2", "key", "v", "start"])
 
-        return texts.mapInArrow(run, "w1 long, w2 long, key long, x long, start int")
+        return texts.mapInArrow(run, "w1 long, w2 long, key long, v int, start int")
 
     def _rest(self, df: DataFrame) -> DataFrame:
         length = self.length

@@ -25,7 +25,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from libretto.llm.common import batches, bucketed, grouped, partitions, stored
@@ -38,10 +38,7 @@ def suffix_array(text):
     import numpy as np
 
     n = len(text)
-    pad = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
-    key = np.zeros(n, dtype=np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | pad[i : i + n]
+    key = words_at(text)
     order = np.argsort(key)
     key = key[order]
     head = np.concatenate([[True], key[1:] != key[:-1]]) if n else np.zeros(0, dtype=bool)
@@ -66,11 +63,23 @@ def suffix_array(text):
     return order, rank
 
 
+def words_at(text):
+    """The 8 bytes from each position on, as one number; zeros stand behind the end."""
+    import numpy as np
+
+    n = len(text)
+    pad = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
+    out = np.zeros(n, dtype=np.uint64)
+    for i in range(8):
+        out = (out << np.uint64(8)) | pad[i : i + n]
+    return out
+
+
 def common_prefixes(text, order, rank, most: int, lanes: int = 4096):
     """Kasai's scan: for each slot the common prefix with the slot before it, up to `most`.
 
-    The text is cut into lanes that are scanned in step; within a lane, the prefix of a position is
-    at least that of the position before it less one.
+    The text is cut into lanes that are scanned in step, 8 bytes at a time; within a lane, the
+    prefix of a position is at least that of the position before it less one.
     """
     import numpy as np
 
@@ -78,26 +87,26 @@ def common_prefixes(text, order, rank, most: int, lanes: int = 4096):
     out = np.zeros(n, dtype=np.int32)
     if n < 2:
         return out
-    pad = np.concatenate([text, np.zeros(most + 1, dtype=np.uint8)])
+    word = words_at(text)
     steps = -(-n // min(lanes, n))
     starts = np.arange(0, n, steps)
     have = np.zeros(len(starts), dtype=np.int64)
     for t in range(steps):
-        at = starts + t
-        live = np.flatnonzero(at < n)
-        p = at[live]
+        p = starts + t
+        if p[-1] >= n:
+            p, have = p[:-1], have[:-1]
+            starts = starts[:-1]
         slot = rank[p]
         q = order[np.maximum(slot - 1, 0)]
-        got = np.maximum(have[live] - 1, 0)
-        got[slot == 0] = 0
-        go = np.flatnonzero(slot > 0)
+        room = np.minimum(most, n - np.maximum(p, q))
+        room[slot == 0] = 0
+        got = np.minimum(np.maximum(have - 1, 0), room)
+        go = np.flatnonzero(got < room)
         while len(go):
-            far = np.maximum(p[go], q[go]) + got[go]
-            ok = (got[go] < most) & (far < n)
-            go = go[ok]
-            go = go[pad[p[go] + got[go]] == pad[q[go] + got[go]]]
-            got[go] += 1
-        have[live] = got
+            differ = word[p[go] + got[go]] ^ word[q[go] + got[go]]
+            got[go] += sum((differ < np.uint64(1 << (8 * i))).astype(np.int64) for i in range(8))
+            go = go[(differ == 0) & (got[go] < room[go])]
+        have = got = np.minimum(got, room)
         out[slot] = got
     return out
 
@@ -149,14 +158,20 @@ def fingerprints(df: DataFrame, length: int, k: int) -> DataFrame:
 def firsts(known: DataFrame, size: str, least: int) -> DataFrame:
     """known with column low: the smallest key that has the row's sha256, where it holds `least` at least."""
     low = known.where((F.col(size) >= least) & F.col("key").isNotNull()).groupBy("sha256").agg(F.min("key").alias("low"))
-    return known.join(low, "sha256", "left")
+    return known.join(stored(low), "sha256", "left")  # stored, so that a skewed side of the join can be split
+
+
+def heads_of(known: DataFrame, *more: str) -> DataFrame:
+    """The texts to search: key, x and v, the text's number among those of its key (0 but for repeated keys)."""
+    order = Window.partitionBy("key").orderBy("x")
+    return known.where("key = low").select("key", "x", *more).distinct().withColumn("v", F.dense_rank().over(order) - 1)
 
 
-def same_text(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """left joined with right by key and, without a further shuffle key, by the text's hash x (right: x2)."""
-    right = right.withColumnRenamed("x", "x2").withColumnRenamed("key", "key2")
-    on = (left["key"] == right["key2"]) & (left["x"].bitwiseXOR(right["x2"]) == 0)
-    return left.join(right, on, how).drop("key2", "x2")
+def same_text(left: DataFrame, right: DataFrame, how: str = "inner", by: str = "x") -> DataFrame:
+    """left joined with right by key and by x or v; only key deals the rows, so that texts dealt by key stay."""
+    right = right.withColumnsRenamed({"key": "_key", by: "_by"})
+    on = (left["key"] == right["_key"]) & (left[by].bitwiseXOR(right["_by"]) == 0)
+    return left.join(right, on, how).drop("_key", "_by")
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = GRAM, kinds: int = KINDS) -> DataFrame:
@@ -165,81 +180,82 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     was removed) and kept_text (kept with the characters that a cut would split left whole)."""
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
-    known = stored(firsts(fingerprints(docs, length, k), "n_bytes", length))
-    heads = known.where("key = low")
-    postings = heads.select(F.explode("anchors").alias("anchor"), "key", "x")
-    shared = postings.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.min("x").alias("c"), F.max("x").alias("d")).where("a < b or c < d").select("anchor")
-    met = postings.join(shared, "anchor").groupBy("key", "x").agg(F.collect_set("anchor").alias("shared"))
-    again = heads.where("repeats").select("key", "x", F.lit(None).cast("array<long>").alias("shared"))
-    wanted = met.unionByName(again).groupBy("key", "x").agg(F.flatten(F.collect_list("shared")).alias("shared"))
-    texts = bucketed(same_text(docs, wanted).select("key", "x", "text", "shared"), "key")
+    prints = stored(fingerprints(docs, length, k))
+    known = stored(firsts(prints.drop("anchors"), "n_bytes", length))
+    postings = prints.where("key is not null").select(F.explode("anchors").alias("anchor"), "key", "x")
+    # Met in different texts; copies of one text have one hash.
+    shared = stored(postings.groupBy("anchor").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a < b").select("anchor"))
+    met = postings.select("anchor", "key").join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("shared"))
+    wanted = heads_of(known, "repeats").join(met, "key", "left").where("repeats or shared is not null").drop("repeats")
+    texts = bucketed(same_text(docs, wanted).select("key", "x", "v", "text", "shared"), "key")
 
     def cut(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         from libretto.llm import grams
 
-        names = ["mini", "c1", "c2", "key", "x", "start", "n", "again"]
+        names = ["mini", "c", "key", "v", "start", "n", "again"]
         for batch in batches(frame, "text"):
             out = []
-            for text, shared, key, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("x").to_pylist(), strict=True):
-                mini, start, n = pieces_of(text, shared.values.to_numpy() if shared.values is not None else [], length, k)
+            for text, shared, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                mini, start, n = pieces_of(text, shared.values.to_numpy() if shared.is_valid else [], length, k)
                 if not len(mini):
                     continue
                 b = np.frombuffer(text, dtype=np.uint8)
-                c = [grams.ranges(grams.sums(grams.BYTES[i][b], grams.BASES[i]), start, start + n + length - 1, grams.BASES[i]).view(np.int64) for i in (0, 1)]
-                order = np.lexsort((start, c[1], c[0]))
+                c = grams.ranges(grams.sums(grams.BYTES[1][b], grams.BASES[1]), start, start + n + length - 1, grams.BASES[1]).view(np.int64)
+                order = np.lexsort((start, c, mini))
                 same = np.zeros(len(mini), dtype=bool)
-                same[order[1:]] = (c[0][order[1:]] == c[0][order[:-1]]) & (c[1][order[1:]] == c[1][order[:-1]])
-                out.append((mini, *c, np.full(len(mini), key), np.full(len(mini), x), start, n, same))
+                same[order[1:]] = (c[order[1:]] == c[order[:-1]]) & (mini[order[1:]] == mini[order[:-1]])
+                out.append((mini, c, np.full(len(mini), key), np.full(len(mini), v, dtype=np.int32), start.astype(np.int32), n.astype(np.int32), same))
             if out:
-                columns = [np.concatenate(v) for v in zip(*out, strict=True)]
-                columns[5], columns[6] = columns[5].astype(np.int32), columns[6].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=names)
-
-    pieces = stored(texts.mapInArrow(cut, "mini long, c1 long, c2 long, key long, x long, start int, n int, again boolean"))
-    low = pieces.where("not again").groupBy("mini", "c1", "c2").agg(F.min("key").alias("low"))
-    low = stored(low.join(low.groupBy("mini").agg(F.count("*").alias("kinds")), "mini"))
-    placed = stored(pieces.join(low, ["mini", "c1", "c2"]).select("key", "x", "start", "n", "mini", "kinds", (F.col("again") | (F.col("key") > F.col("low"))).alias("gone")))
-    open_ = placed.where("not gone and kinds > 1")
-    total = open_.agg(F.sum(F.col("n") + length)).first()[0] or 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=names)
+
+    # A piece is known by two independent hashes: that of its minimiser and that of all of it.
+    pieces = stored(texts.select("key", "v", "text", "shared").mapInArrow(cut, "mini long, c long, key long, v int, start int, n int, again boolean"))
+    low = pieces.where("not again").groupBy("mini", "c").agg(F.min("key").alias("low"))
+    several = low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    low = stored(low.join(several, "mini", "left"))
+    gone = F.col("again") | (F.col("key") > F.col("low"))
+    open_ = ~gone & F.col("kinds").isNotNull()
+    placed = stored(pieces.join(low, ["mini", "c"]).where(gone | open_).select("key", "v", "start", "n", F.when(~gone, F.col("mini")).alias("mini"), F.when(~gone, F.col("kinds")).alias("kinds")))
+    total = placed.where("kinds is not null").agg(F.sum(F.col("n") + length)).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    spread = F.ceil(F.col("kinds") / F.lit(kinds)).cast("int")
-    listed = open_.select("key", "x", F.struct("start", "n", F.when(spread > 1, F.xxhash64("mini")).otherwise(F.pmod(F.xxhash64("mini"), F.lit(shards))).alias("shard"), spread.alias("chunks")).alias("p"))
-    lists = listed.groupBy("key", "x").agg(F.collect_list("p").alias("pieces"))
+    chunks = F.ceil(F.col("kinds") / F.lit(kinds)).cast("int")
+    shard = F.when(chunks > 1, F.xxhash64("mini")).otherwise(F.pmod(F.xxhash64("mini"), F.lit(shards)))
+    lists = placed.where("kinds is not null").groupBy("key", "v").agg(F.collect_list(F.struct("start", "n", shard.alias("shard"), chunks.alias("chunks"))).alias("pieces"))
 
     def fetch(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds_ = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        names = ["shard", "chunks", "key", "v", "start", "n", "piece"]
         for batch in batches(frame, "text", 1 << 20):
             out = []
-            for text, ps, key, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("pieces").to_pylist(), batch.column("key").to_pylist(), batch.column("x").to_pylist(), strict=True):
-                out += [(p["shard"], p["chunks"], key, x, p["start"], p["n"], text[p["start"] : p["start"] + p["n"] + length - 1]) for p in ps]
-            kinds_ = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            names = ["shard", "chunks", "key", "x", "start", "n", "piece"]
+            for text, ps, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("pieces").to_pylist(), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                out += [(p["shard"], p["chunks"], key, v, p["start"], p["n"], text[p["start"] : p["start"] + p["n"] + length - 1]) for p in ps]
             for at in range(0, len(out), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out[at : at + 20_000], strict=True), kinds_, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[at : at + 20_000], strict=True), kinds_, strict=True)], names=names)
 
-    cut_out = same_text(texts.select("key", "x", "text"), lists).mapInArrow(fetch, "shard long, chunks int, key long, x long, start int, n int, piece binary")
-    own = F.pmod(F.xxhash64("key", "x", "start"), F.col("chunks")).cast("int")
+    cut_out = same_text(texts.select("key", "v", "text"), lists, by="v").mapInArrow(fetch, "shard long, chunks int, key long, v int, start int, n int, piece binary")
+    own = F.pmod(F.xxhash64("key", "v", "start"), F.col("chunks")).cast("int")
     rows = cut_out.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).drop("other")
-    dealt = rows.repartition(max(shards, partitions(spark)) if shards < 4096 else 4096, "shard", "chunks", "a", "b").sortWithinPartitions("shard", "chunks", "a", "b")
+    dealt = rows.repartition(min(4096, max(shards, partitions(spark))), "shard", "chunks", "a", "b").sortWithinPartitions("shard", "chunks", "a", "b")
 
     def search(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped(frame, ["shard", "chunks", "a", "b"]):
             found = later(t, length, t["a"][0].as_py(), t["b"][0].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(found, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["key", "x", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(found, (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["key", "v", "start", "n"])
 
-    found = dealt.mapInArrow(search, "key long, x long, start int, n int")
-    spans = placed.where("gone").select("key", "x", "start", "n").unionByName(found)
-    spans = spans.groupBy("key", "x").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    changed = keep_rest(same_text(texts.select("key", "x", "text"), spans), length)
-    return whole(known, changed, "n_bytes", key)
+    found = dealt.mapInArrow(search, "key long, v int, start int, n int")
+    spans = placed.where("kinds is null").select("key", "v", "start", "n").unionByName(found)
+    spans = spans.groupBy("key", "v").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    changed = keep_rest(same_text(texts.select("key", "x", "v", "text"), spans, by="v"), length)
+    return whole(known.drop("repeats"), changed, "n_bytes", key)
 
 
 def whole(known: DataFrame, changed: DataFrame, size: str, key: str) -> DataFrame:
     """Every row's result: as changed says, nothing left of later copies, all of the others."""
     done = changed.dropDuplicates(["key", "x"])
-    out = same_text(known.drop("anchors", "repeats"), done, "left")
+    out = same_text(known, done, "left")
     copy = F.coalesce(F.col("key") > F.col("low"), F.lit(False))
     every = F.array(F.struct(F.lit(0).alias("start"), F.col(size).cast("int").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -250,10 +266,10 @@ def whole(known: DataFrame, changed: DataFrame, size: str, key: str) -> DataFram
 
 
 def later(t: pa.Table, length: int, a: int, b: int):
-    """Runs of strings (key, x, start, windows) that start earlier in another row of the unit, or of the other chunk."""
+    """Runs of strings (key, v, start, windows) that start earlier in another row of the unit, or of the other chunk."""
     import numpy as np
 
-    key, x, start, n, own = (t[c].to_numpy() for c in ("key", "x", "start", "n", "own"))
+    key, v, start, n, own = (t[c].to_numpy() for c in ("key", "v", "start", "n", "own"))
     side = [np.flatnonzero(own == c) for c in ((a,) if a == b else (a, b))]
     sorted_ = [classes(t["piece"].take(pa.array(ix)), n[ix], length) for ix in side]
     if a == b:
@@ -266,9 +282,9 @@ def later(t: pa.Table, length: int, a: int, b: int):
         to = np.where(fits, slot, len(s1) + np.arange(len(s2)))
         row, place, group = np.concatenate([side[0][row1], side[1][row2]]), np.concatenate([at1, at2]), np.concatenate([g1, to[g2]])
     at = start[row] + place
-    order = np.lexsort((at, x[row], key[row], group))
+    order = np.lexsort((at, v[row], key[row], group))
     row, place, group, at = row[order], place[order], group[order], at[order]
-    k, h = key[row], x[row]
+    k, h = key[row], v[row]
     fresh = np.concatenate([[True], group[1:] != group[:-1]]) if len(row) else np.zeros(0, dtype=bool)
     low = k[np.maximum.accumulate(np.where(fresh, np.arange(len(row)), 0))] if len(row) else k
     second = np.concatenate([[False], (group[1:] == group[:-1]) & (k[1:] == k[:-1]) & (h[1:] == h[:-1])]) if len(row) else fresh
@@ -278,7 +294,7 @@ def later(t: pa.Table, length: int, a: int, b: int):
     if not len(row):
         return (np.empty(0, dtype=np.int64),) * 4
     new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)]))
-    return key[row[new]], x[row[new]], start[row[new]] + place[new], np.diff(np.append(new, len(row)))
+    return key[row[new]], v[row[new]], start[row[new]] + place[new], np.diff(np.append(new, len(row)))
 
 
 def classes(pieces, n, length: int):
