@@ -285,9 +285,12 @@ def later(t: pa.Table, length: int, a: int, b: int):
     order = np.lexsort((at, v[row], key[row], group))
     row, place, group, at = row[order], place[order], group[order], at[order]
     k, h = key[row], v[row]
-    fresh = np.concatenate([[True], group[1:] != group[:-1]]) if len(row) else np.zeros(0, dtype=bool)
-    low = k[np.maximum.accumulate(np.where(fresh, np.arange(len(row)), 0))] if len(row) else k
-    second = np.concatenate([[False], (group[1:] == group[:-1]) & (k[1:] == k[:-1]) & (h[1:] == h[:-1])]) if len(row) else fresh
+    if not len(row):
+        return (np.empty(0, dtype=np.int64),) * 4
+    fresh = np.concatenate([[True], group[1:] != group[:-1]])
+    here = fresh | np.concatenate([[True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])])
+    at_first = lambda new: np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    low, second = k[at_first(fresh)], at > at[at_first(here)]  # a repeated row has the same places again
     gone = np.flatnonzero((k > low) | second)
     order = gone[np.lexsort((place[gone], row[gone]))]
     row, place = row[order], place[order]

@@ -41,7 +41,7 @@ def path_of(url: Column) -> Column:
 
 
 def judged(df: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url: str = "url") -> DataFrame:
-    """Adds host, path, rule and own (the verdict of the url's own rule, else null)."""
+    """Adds host, path, rule and _own_verdict (the verdict of the url's own rule, else null)."""
     out = df.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     rule = own = None
     for host, path, verdict in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r)):
@@ -49,7 +49,7 @@ def judged(df: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url: st
         rule = F.when(fits, host + path) if rule is None else rule.when(fits, host + path)
         own = F.when(fits, verdict) if own is None else own.when(fits, verdict)
     none = F.lit(None).cast("string")
-    return out.withColumn("rule", none if rule is None else rule).withColumn("own", none if own is None else own)
+    return out.withColumn("rule", none if rule is None else rule).withColumn("_own_verdict", none if own is None else own)
 
 
 def edges_of(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -67,10 +67,10 @@ def filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, re
         more = redirects.select("src", "dst").where("src is not null and dst is not null")
         edges = more if edges is None else edges.unionByName(more)
     if edges is None:
-        return own.withColumn("verdict", F.coalesce("own", F.lit("allow"))).drop("own")
+        return own.withColumn("verdict", F.coalesce("_own_verdict", F.lit("allow"))).drop("_own_verdict")
     part = components(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")))
     # Nodes that no page has may carry the rule too, e.g. the target of a redirect.
-    blocked = judged(part, rules, "node").where("own = 'block'").select("component").distinct()
+    blocked = judged(part, rules, "node").where("_own_verdict = 'block'").select("component").distinct()
     aliases = part.join(blocked, "component", "left_semi").select(F.col("node").alias("_node"), F.lit("block").alias("_moved"))
     out = own.join(aliases, own[url] == F.col("_node"), "left")
-    return out.withColumn("verdict", F.coalesce("own", "_moved", F.lit("allow"))).drop("own", "_node", "_moved")
+    return out.withColumn("verdict", F.coalesce("_own_verdict", "_moved", F.lit("allow"))).drop("_own_verdict", "_node", "_moved")
