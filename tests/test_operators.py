@@ -142,3 +142,69 @@ def test_streams_write_once_and_total_by_hour(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
     events = spark.createDataFrame([("click", "2024-01-01 10:10:00", 1.0), ("click", "2024-01-01 10:50:00", 2.0)], "event_type string, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
     assert [(r.n, r.total) for r in resume.hourly(events).collect()] == [(2, 3.0)]
+
+
+def test_synthesis_resumes_and_the_loop_ends(spark, tmp_path):
+    from libretto.functions import audio
+    from libretto.operators import synthesis
+
+    c = spark.createDataFrame([("a", "uno due tre quattro", "h1"), ("b", "bad", "h2"), ("c", "cinque sei sette otto", "h3")], "chunk_id string, spoken_text string, content_sha256 string")
+    keyed = synthesis.cache_keys(c, "fake", "1", "v", 8000, 3, 1.0)
+
+    def engine():
+        def run(text, seed, rate, speed):
+            if text == "bad":
+                raise RuntimeError("no voice")
+            return audio.voice(text, seed, rate, speed / 8)
+
+        return run
+
+    stores = iter(range(100))
+
+    def keep(df):
+        path = str(tmp_path / f"k{next(stores)}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    nothing = spark.createDataFrame([], synthesis.GENERATED)
+    made = keep(synthesis.synthesised(keyed, nothing, engine, 8000, 3))
+    got = {r.chunk_id: r for r in made.collect()}
+    assert got["b"].exception_type == "RuntimeError" and got["b"].attempt_count == 2 and got["a"].frame_count > 0
+    assert synthesis.state(made).first().status == "partial"
+    again = synthesis.synthesised(keyed, made, engine, 8000, 3)
+    assert [r.chunk_id for r in again.select("chunk_id").collect()] == ["b"]
+    said = {bytes(audio.voice(t, 3 + n, 8000, 1 / 8)): (t if i == "a" or n else "") for i, t in (("a", "uno due tre quattro"), ("c", "cinque sei sette otto")) for n in range(3)}
+    final, checked = synthesis.verification_loop(keyed, made, engine, lambda: lambda pcm: said[pcm], keep, 8000, 3)
+    status = {r.chunk_id: (r.status, r.attempt_number) for r in checked.collect()}
+    assert status["a"][0] == "accepted" and status["c"] == ("accepted", 1)
+    assert final.count() == 3
+
+
+def test_pages_and_references(spark):
+    from libretto.operators import pages
+
+    p = spark.createDataFrame([(1, "text", 0, 0), (2, " ", 0, 3), (3, "", 1, 0)], "page int, text string, images int, drawings int")
+    cls = [r.c for r in p.select("page", pages.page_class(F.col("text"), F.col("images"), F.col("drawings")).alias("c")).orderBy("page").collect()]
+    assert cls == ["text", "blank", "scanned"]
+    with pytest.raises(Exception, match="scanned"):
+        pages.checked_pages(p).collect()
+    t = r"\chapter{A}\label{a}\section{S}\label{s}\begin{figure}\label{f}\chapter*{X}\label{x}\appendix\chapter{B}\label{b} see \ref{f}, \autoref{s} and \appref{no}"
+    books = spark.createDataFrame([("k", t)], "book_id string, text string")
+    index = pages.reference_index(books)
+    assert {r.label: r.target for r in index.collect()} == {"a": "capitolo 1", "s": "sezione 1.1", "f": "figura 1.1", "x": None, "b": "appendice A"}
+    row = pages.resolved(books, index).first()
+    assert row.text.endswith("see figura 1.1, sezione 1.1 and appendice non risolta") and row.unresolved == ["no"]
+
+
+def test_bundles_and_reports(spark, tmp_path):
+    from libretto.sources import bundles
+
+    (tmp_path / "a.txt").write_text("x")
+    first = bundles.publish(str(tmp_path), str(tmp_path / "out"), {"a.txt": "text"})
+    assert bundles.publish(str(tmp_path), str(tmp_path / "out"), {"a.txt": "text"}) == first
+    (tmp_path / "out" / first.rsplit("/", 1)[1] / "b").write_text("y")
+    with pytest.raises(ValueError):
+        bundles.verify(first)
+    assert bundles.fenced("a`b") == "``a`b``" and bundles.fenced("x") == "`x`"
+    text = bundles.report("T", spark.range(1), ("Rows", spark.range(3)), most=2)
+    assert "| 0 |" in text and "first 2 rows" in text
