@@ -27,11 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """The rows of df, written once to the shared folder; readers survive lost executors."""
+#: Rows of ids and numbers that make a file of a few MB.
+FILE_ROWS = 250_000
+
+
+def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows of df, written once to the shared folder; readers survive lost executors.
+
+    rows: a bound on the number of rows where it is known, so that small tables get few files.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/libretto/{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -100,28 +109,35 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (u, v): rows (node, component), its smallest node.
 
     Alternates large-star and small-star steps until every node points at the smallest node it
-    reaches. The steps are sums per node and joins, so that a node with very many edges is
-    pre-aggregated before it is shuffled; each round is written to the shared folder.
+    reaches. Minima per node are pre-aggregated and stored, so that the joins on nodes have plain
+    exchanges on both sides and a node with very many edges is split; each round is written to the
+    shared folder.
     """
     e = edges.select("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e, before = stored(e), None
-    if e.isEmpty():
-        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    for _ in range(most_rounds):
+    n = e.count()
+    for _ in range(most_rounds if n else 0):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), 2 * n)
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        near = large.where("u <> v").distinct()
-        least = near.groupBy("u").agg(F.min("v").alias("m"))
+        near = stored(large.where("u <> v").distinct(), n)
+        least = stored(near.groupBy("u").agg(F.min("v").alias("m")), n)
         small = near.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = stored(small.where("u <> v").distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
+        e = stored(small.where("u <> v").distinct(), 2 * n)
+        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % (1 << 40)).alias("sum")).first()
         if now == before:
             break
-        before = now
+        n, before = now.n, now
+    else:
+        if n:
+            raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), "v")).groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete everything that operators have stored in the shared folder; nothing may read it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/libretto")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def block_units(df: DataFrame, group: str, chunks: str, salt: list[str]) -> DataFrame:

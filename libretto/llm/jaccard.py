@@ -9,8 +9,9 @@ Jaccard similarity of their sets is SIMILARITY or more.
    RECALL, from ROWS hashes a band. Documents are shuffled on their bands' hashes; those that meet
    in a bucket are joined to the bucket's smallest document, and the connected components of these
    star edges are groups outside of which no pair meets in any band.
-3. Within a group all pairs are verified on the full sets, shipped once. A large group is cut into
-   chunks of about CHUNK shingles that meet pairwise, so that a unit of work is bounded. Units give
+3. Within a group all pairs are verified on the full sets, which units make again from the whole
+   texts, shipped once. A large group is cut into chunks of about CHUNK shingles that meet pairwise,
+   so that a unit of work is bounded. Units give
    the number of links of each document (a class counts with all its members) and a spanning
    forest, never the pairs; a group in one unit has its components there, the others' forests are
    joined by connected components.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from libretto.llm.common import batches, block_units, components, forest, grouped, stored
 
-SHINGLE, SIMILARITY, ROWS, RECALL, CHUNK = 5, 0.8, 5, 0.9999, 400_000
+SHINGLE, SIMILARITY, ROWS, RECALL, CHUNK = 5, 0.8, 5, 0.9999, 100_000
 
 
 def bands_for(similarity: float, rows: int, recall: float) -> int:
@@ -52,8 +53,17 @@ def shingles(text: bytes, size: int):
     return np.unique(grams.windows(symbols, min(size, len(symbols)), 1))
 
 
+def named(own) -> tuple[int, int]:
+    """Two hashes of a set of shingles."""
+    import numpy as np
+
+    from libretto.llm import grams
+
+    return tuple(int(np.sum(grams.mix(own + np.uint64(i))).view(np.int64)) for i in (0, 99))
+
+
 def signed(df: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """Rows key, s1, s2 (hash of the set; null if empty), set, bands (hash of each band)."""
+    """Rows key, s1, s2 (hashes of the set; null if empty), n (its shingles), bands (hash of each band)."""
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -62,13 +72,13 @@ def signed(df: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
         count = bands * rows
         seeds = grams.mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        odd = grams.mix(seeds) | np.uint64(1)
+        odd, even = grams.mix(seeds) | np.uint64(1), seeds | np.uint64(1)
         place = grams.mix(np.arange(bands, dtype=np.uint64) + np.uint64(77))
         for batch in batches(frame, "text"):
-            sets, hashes, ids = [], [], []
+            sizes, hashes, ids = [], [], []
             for value in batch.column("text").cast(pa.binary()).to_pylist():
                 own = shingles(value or b"", size)
-                sets.append(own.view(np.int64))
+                sizes.append(len(own))
                 if not len(own):
                     hashes.append(np.empty(0, dtype=np.int64))
                     ids.append((None, None))
@@ -77,19 +87,18 @@ def signed(df: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 for at in range(0, len(own), 512):
                     h = own[at : at + 512, None] * odd[None, :]
                     h ^= h >> np.uint64(32)
-                    h *= seeds[None, :] | np.uint64(1)
+                    h *= even[None, :]
                     np.minimum(low, h.min(0), out=low)
                 band = place.copy()
                 for r in range(rows):
                     band = grams.mix(band * np.uint64(0x9E3779B97F4A7C15) + low[r::rows])
                 hashes.append(band.view(np.int64))
-                with np.errstate(over="ignore"):
-                    ids.append(tuple(int(x.view(np.int64)) for x in (np.sum(grams.mix(own)), np.sum(grams.mix(own + np.uint64(99)) * np.uint64(3)))))
-            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, v)]).astype(np.int32)), pa.array(np.concatenate(v))) for v in (sets, hashes)]
+                ids.append(named(own))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, hashes)]).astype(np.int32)), pa.array(np.concatenate(hashes)))
             s = [pa.array(v, pa.int64()) for v in zip(*ids, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *s, *lists], names=["key", "s1", "s2", "set", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *s, pa.array(sizes, pa.int32()), lists], names=["key", "s1", "s2", "n", "bands"])
 
-    return df.mapInArrow(run, "key long, s1 long, s2 long, set array<long>, bands array<long>")
+    return df.mapInArrow(run, "key long, s1 long, s2 long, n int, bands array<long>")
 
 
 def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
@@ -97,26 +106,34 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sets = stored(signed(docs, size, bands_for(similarity, rows, recall), rows))
     fine = sets.where("s1 is not null and key is not null")
-    classes = stored(fine.select("s1", "s2", "key").groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("members")))
-    # One row a class; two classes may share an id where rows do, so that classes are known by their set's hash.
-    heads = fine.select("key", "s1", "s2", "bands").join(classes, ["s1", "s2"]).where("key = rep").select("s1", "s2", F.explode("bands").alias("band"))
-    buckets = heads.groupBy("band").agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where("low < high")
-    edges = heads.join(buckets.select("band", "low"), "band").select(F.col("s1").alias("u"), F.col("low").alias("v"))
-    group = stored(components(edges))
-    met = fine.select("key", "s1", "s2", "set").join(classes, ["s1", "s2"]).where("key = rep").join(group, F.col("s1") == F.col("node")).dropDuplicates(["s1", "s2"])
-    met = stored(met.select("s1", "s2", "rep", "members", "set", F.col("component").alias("part")))
-    volume = met.groupBy("part").agg(F.ceil(F.sum(F.size("set")) / F.lit(chunk)).cast("int").alias("chunks"))
-    dealt = block_units(met.join(volume, "part"), "part", "chunks", ["s1", "s2"])
+    n = sets.count()
+    # A class is known by its set's hash, as two classes may share an id where rows do.
+    classes = stored(fine.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("members"), F.min("n").alias("n")), n)
+    heads = fine.select("key", "s1", "s2", "bands").join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).where("key = rep").select("s1", F.explode("bands").alias("band"))
+    buckets = stored(heads.groupBy("band").agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where("low < high").select("band", "low"))
+    edges = heads.join(buckets, "band").select(F.col("s1").alias("u"), F.col("low").alias("v"))
+    group = components(edges)
+    met = stored(classes.join(group, classes["s1"] == group["node"]).select("s1", "s2", "rep", "members", "n", F.col("component").alias("part")), n)
+    volume = met.groupBy("part").agg(F.ceil(F.sum("n") / F.lit(chunk)).cast("int").alias("chunks"))
+    wanted = met.join(volume, "part").drop("n")
+    dealt = block_units(docs.join(wanted.hint("merge"), F.col("key") == F.col("rep")).drop("key"), "part", "chunks", ["s1", "s2"])
 
     def verify(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for t in grouped(frame, ["part", "_a", "_b"]):
             a, b, chunks = (t[c][0].as_py() for c in ("_a", "_b", "chunks"))
+            ids = list(zip(t["s1"].to_pylist(), t["s2"].to_pylist(), strict=True))
+            own_sets, at, seen = [], [], set()
+            for i, value in enumerate(t["text"].cast(pa.binary()).to_pylist()):
+                if ids[i] not in seen and named(s := shingles(value, size)) == ids[i]:  # not another text of this id, nor a repeated row
+                    seen.add(ids[i])
+                    own_sets.append(s)
+                    at.append(i)
+            t = t.take(pa.array(at))
             own, members, rep = (t[c].to_numpy() for c in ("_own", "members", "rep"))
-            one = t["set"].combine_chunks()
-            ends, flat = one.offsets.to_numpy() - one.offsets[0].as_py(), one.flatten().to_numpy()
-            i, j = similar(flat, ends, np.flatnonzero(own == a), np.flatnonzero(own == b), similarity)
+            ends = np.cumsum([0, *map(len, own_sets)])
+            i, j = similar(np.concatenate(own_sets), ends, np.flatnonzero(own == a), np.flatnonzero(own == b), similarity)
             count = np.bincount(i, members[j], len(own)) + np.bincount(j, members[i], len(own))
             order = np.argsort(rep, kind="stable")
             rank = np.empty_like(order)
@@ -129,7 +146,7 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     joined = components(found.where("cut").select(F.col("rep").alias("u"), F.col("low").alias("v")))
     about = found.groupBy("s1", "s2").agg(F.sum("links").alias("links"), F.min("low").alias("low"))
     known = classes.join(about, ["s1", "s2"], "left").join(joined, F.col("rep") == F.col("node"), "left")
-    known = known.select("s1", "s2", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("_n"), F.coalesce("component", "low", "rep").alias("_c"))
+    known = stored(known.select("s1", "s2", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("_n"), F.coalesce("component", "low", "rep").alias("_c")), n)
     out = sets.select("key", "s1", "s2").join(known, ["s1", "s2"], "left")
     none = F.col("key").isNull()
     return out.select(F.col("key").alias(key), F.when(none, 0).otherwise(F.coalesce("_n", F.lit(0))).cast("long").alias("n_links"), F.when(~none, F.coalesce("_c", "key")).alias("class_id"))
