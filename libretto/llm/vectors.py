@@ -146,8 +146,8 @@ def pairs_of(index: Index, one: int, x, size, probes, code, error, a, b, cosine:
 def linked(df: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: str = "embedding", probes: int = PROBES, train: int = TRAIN, chunk: int = CHUNK) -> DataFrame:
     """Rows <key>, n_links, component_id, kept: one for each row of df."""
     spark = df.sparkSession
-    rows = df.select(F.col(key).cast("long").alias("id"), usable(F.col(vector)).alias("v"))
-    rows = rows.withColumn("v", F.when(F.col("id").isNotNull(), F.col("v")))
+    kind = dict(df.dtypes)[vector]  # vectors travel in their own type; all arithmetic is in doubles
+    rows = df.select(F.col(key).cast("long").alias("id"), F.when(usable(F.col(vector)).isNotNull() & F.col(key).isNotNull(), F.col(vector)).alias("v"))
     rows = rows.withColumn("h1", F.when(F.col("v").isNotNull(), F.xxhash64("v"))).withColumn("h2", F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v")))
     fine = rows.where("v is not null")
     classes = fine.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
@@ -175,11 +175,11 @@ def linked(df: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: s
                 for p in range(probes):
                     code, error = index.encode(x, near[:, p])
                     yield pa.RecordBatch.from_arrays(
-                        [*(part.column(c) for c in ("h1", "h2", "rep", "n")), pa.array(near[:, p]), listed(near), pa.array([r.tobytes() for r in code], pa.binary()), pa.array(error), pa.array(size.astype(np.int32)), listed(x)],
+                        [*(part.column(c) for c in ("h1", "h2", "rep", "n")), pa.array(near[:, p]), listed(near), pa.array([r.tobytes() for r in code], pa.binary()), pa.array(error), pa.array(size.astype(np.int32)), part.column("v")],
                         names=["h1", "h2", "rep", "n", "list", "probes", "code", "error", "size", "x"],
                     )
 
-    lists = stored(reps.mapInArrow(insert, "h1 long, h2 long, rep long, n long, list int, probes array<int>, code binary, error double, size int, x array<double>"))
+    lists = stored(reps.mapInArrow(insert, f"h1 long, h2 long, rep long, n long, list int, probes array<int>, code binary, error double, size int, x {kind}"))
     sizes = lists.groupBy("list").agg(F.ceil(F.count("*") / F.lit(chunk)).cast("int").alias("chunks"))
     dealt = block_units(lists.join(F.broadcast(sizes), "list"), "list", "chunks", ["h1", "h2"])  # a row a list, of LISTS at most
 
@@ -190,7 +190,7 @@ def linked(df: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: s
         for t in grouped(frame, ["list", "_a", "_b"]):
             one, ca, cb = t["list"][0].as_py(), t["_a"][0].as_py(), t["_b"][0].as_py()
             own, n, rep = t["_own"].to_numpy(), t["n"].to_numpy(), t["rep"].to_numpy()
-            x, _ = matrix(t["x"], width)
+            x = unit(matrix(t["x"], width)[0])
             near = np.asarray(t["probes"].combine_chunks().flatten()).reshape(len(x), -1)
             code = np.frombuffer(b"".join(t["code"].to_pylist()), dtype=np.uint8).reshape(len(x), -1)
             a, b = np.flatnonzero(own == ca), np.flatnonzero(own == cb)
