@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from libretto.llm.common import batches
 
 MARK = "▁"
-TABLE = 400_000
+TABLE = 200_000
 
 
 @lru_cache(maxsize=4)
@@ -91,7 +91,7 @@ def encoded(df: DataFrame, model: str, text: str = "text", ids: str = "ids", dec
         import numpy as np
 
         table = Chunks(model)
-        for batch in batches(frame, text):
+        for batch in batches(frame, text, 2 << 20):
             docs = [table.cut(x) if x else [] for x in batch.column(text).to_pylist()]
             distinct = set().union(*docs)
             if len(distinct) + len(table.ids) > table.most:
