@@ -94,8 +94,9 @@ class SubstringIndex:
         (the words that remain, joined by a space; null if nothing was removed)."""
         docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
         prints = stored(fingerprints(docs, self.length, self.k))
-        known = stored(firsts(prints.drop("anchors"), "n_words", self.length))
-        heads = stored(heads_of(known))
+        n = prints.count()
+        known = stored(firsts(prints.drop("anchors"), "n_words", self.length), n)
+        heads = stored(heads_of(known), n)
         older = self.runs
         fresh = self._write(prints.where("key is not null").select(F.explode("anchors").alias("hash"), "key", "x"))
         new = self.read([fresh])

@@ -181,7 +181,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
     prints = stored(fingerprints(docs, length, k))
-    known = stored(firsts(prints.drop("anchors"), "n_bytes", length))
+    known = stored(firsts(prints.drop("anchors"), "n_bytes", length), prints.count())
     postings = prints.where("key is not null").select(F.explode("anchors").alias("anchor"), "key", "x")
     # Met in different texts; copies of one text have one hash.
     shared = stored(postings.groupBy("anchor").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a < b").select("anchor"))
