@@ -116,6 +116,25 @@ k AS (SELECT doc_id, ws, coalesce(len(gone), 0) AS n, CASE WHEN gone IS NULL THE
     ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END AS kept FROM d LEFT JOIN l USING (row))
 SELECT doc_id, len(ws)::BIGINT AS n_words, n::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
 
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n, row_number() OVER () AS row FROM documents),
+w AS (SELECT row, doc_id, i, md5_number(substr(h, 2 * i - 1, 200)) AS k FROM (SELECT row, doc_id, h, unnest(range(1, n - 98)) AS i FROM d)),
+m AS (SELECT k, min({'d': doc_id, 'i': i}) AS low FROM w GROUP BY k HAVING count(*) > 1),
+g AS (SELECT row, i, i - lag(i) OVER (PARTITION BY row ORDER BY i) AS gap FROM w JOIN m USING (k) WHERE {'d': doc_id, 'i': i} > low),
+r AS (SELECT row, i, sum((gap IS NULL OR gap > 100)::INT) OVER (PARTITION BY row ORDER BY i) AS span FROM g),
+s AS (SELECT row, min(i) AS a, max(i) + 99 AS b FROM r GROUP BY row, span),
+p AS (SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS before FROM s),
+k AS (SELECT row, count(*) AS n_spans, sum(b - a + 1)::BIGINT AS n_removed, string_agg(substr(h, 2 * before + 1, 2 * (a - before - 1)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM p JOIN d USING (row) GROUP BY row)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k USING (row)"""
+
+OP4_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id <> q.vec_id AND len(p.e) = len(q.e) WHERE list_cosine_similarity(p.e, q.e) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+o AS (SELECT vec_id, coalesce((SELECT count(*) FROM l WHERE a = vec_id), 0)::BIGINT AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM embeddings)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM o"""
+
 OP6_SQL = f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
     md5(coalesce(doc_id::VARCHAR, '') || ':{mixing.SEED}') AS o FROM documents),
@@ -189,4 +208,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}
+    return {"op1_substring_dedup": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op4_embedding_neardup": OP4_SQL, "op5_url_filter": op5_sql(), "op6_mixing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_topk": OP9_SQL, "op10_licences": op10_sql()}

@@ -14,7 +14,7 @@ vectors.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows without an
 id; vectors of different length have no score. A repeated id is a row of its own, but never its
-own partner. Fewer than k partners give all of them; no query row gives no rows.
+own partner. Components and scores beyond a long count as the nearest long. Fewer than k partners give all of them; no query row gives no rows.
 """
 
 from __future__ import annotations
@@ -79,6 +79,13 @@ def topk(df: DataFrame, is_query: Column, k: int, scale: int = 256, key: str = "
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
 
 
+def saturated(scores):
+    """Whole numbers of any length as longs; what a long can't hold becomes the nearest it can."""
+    import numpy as np
+
+    return np.array([min(max(int(s), -(2**63)), 2**63 - 1) for s in np.atleast_1d(scores)], dtype=np.int64)
+
+
 def best(unit: pa.Table, pivots: dict, k: int) -> Iterator[tuple]:
     """The k best rows (query id, row id, score) of each query within one unit."""
     import numpy as np
@@ -93,7 +100,7 @@ def best(unit: pa.Table, pivots: dict, k: int) -> Iterator[tuple]:
         x, q = take(at), take(ask)
         wide = max(int(np.abs(x).max(initial=0)), int(np.abs(q).max(initial=0)))
         if wide * wide * max(1, int(size)) >= 2**52:  # beyond doubles' exact integers: whole numbers of any length
-            x, q = x.astype(object), q.astype(object)
+            x, q = (np.array(m.tolist(), dtype=object).reshape(m.shape) for m in (x, q))
         xf, qf = x.astype(np.float64), q.astype(np.float64)
         x2, q2 = (xf * xf).sum(1), (qf * qf).sum(1)
         far = np.zeros((len(q), len(x)))
@@ -112,9 +119,9 @@ def best(unit: pa.Table, pivots: dict, k: int) -> Iterator[tuple]:
                     break
                 ix = order[start : start + step]
                 ix = ix[xid[ix] != me]
-                score = (x[ix] @ q[i]) if x.dtype == object else (xf[ix] @ qf[i]).astype(np.int64)
-                got, got_id = np.concatenate([got, score.astype(np.int64)]), np.concatenate([got_id, xid[ix]])
-                rank = np.lexsort((got_id, -got))[:k]
+                score = saturated(x[ix] @ q[i]) if x.dtype == object else (xf[ix] @ qf[i]).astype(np.int64)
+                got, got_id = np.concatenate([got, score]), np.concatenate([got_id, xid[ix]])
+                rank = np.lexsort((got_id, ~got))[:k]  # ~ turns the order of longs around without overflow
                 got, got_id = got[rank], got_id[rank]
                 start, step = start + step, step * 2
             if len(got):

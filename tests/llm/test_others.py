@@ -210,14 +210,16 @@ def test_nothing_to_learn_from(spark):
 @pytest.mark.parametrize(("block", "chunk"), [(8192, 512), (13, 4)])
 def test_topk(spark, block, chunk):
     rng = np.random.default_rng(7)
-    rows = [(i, list(map(float, rng.normal(size=8).round(1)))) for i in range(120)] + [(120, None), (121, [float("inf")] * 8), (122, [None] * 8), (123, [1.0, 2.0]), (150, [0.0] * 8), (None, [1.0] * 8), (124, [1e9] * 8), (7, [0.5] * 8), (200, [])]
+    rows = [(i, list(map(float, rng.normal(size=8).round(1)))) for i in range(120)] + [(120, None), (121, [float("inf")] * 8), (122, [None] * 8), (123, [1.0, 2.0]), (150, [0.0] * 8), (None, [1.0] * 8), (124, [1e9] * 8), (130, [1e300, -1e300] * 4), (7, [0.5] * 8), (200, [])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, rank int")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.topk(df, F.col("vec_id") % 10 == 0, 5, block=block, chunk=chunk).collect())
-    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    most = 2**63 - 1
+    near = lambda n: min(max(n, -most - 1), most)
+    fine = [(i, [near(math.floor(256 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
     for i, q in fine:
         if i % 10 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in fine if j != i and len(v) == len(q))[:5]
+            scores = sorted((-near(sum(a * b for a, b in zip(q, v, strict=True))), j) for j, v in fine if j != i and len(v) == len(q))[:5]
             want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores)]
     assert got == sorted(want)
     assert topk.topk(df.limit(0), F.lit(True), 5).count() == 0
