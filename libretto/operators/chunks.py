@@ -93,8 +93,16 @@ def outliers(df: DataFrame, length: Column, limit: int, short: int = 20, percent
 
 
 def length_stats(df: DataFrame, length: Column, limit: int, *by: str) -> DataFrame:
-    """count, min, median, p95 (nearest rank, upper), max and at_limit of the lengths."""
-    v = F.array_sort(F.collect_list(length))
-    at = lambda p: F.get(F.col("_v"), F.floor(((F.size("_v") - 1) * p + 99) / 100).cast("int"))
-    out = df.groupBy(*by).agg(F.count("*").alias("n"), F.min(length).alias("shortest"), F.max(length).alias("longest"), F.count_if(length >= limit).alias("at_limit"), v.alias("_v"))
-    return out.withColumn("median", at(50)).withColumn("p95", at(95)).drop("_v")
+    """n, shortest, longest, at_limit, median and p95 (nearest rank, upper) of the lengths.
+
+    Lengths are counted first, so that a group is as long as it has different lengths, however
+    many rows it has; the ranks are running counts over those.
+    """
+    counts = df.groupBy(*by, length.alias("_l")).agg(F.count("*").alias("_c"))
+    ran = Window.partitionBy(*by).orderBy("_l")
+    counts = counts.withColumn("_upto", F.sum("_c").over(ran)).withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+    at = lambda p: F.min(F.when(F.col("_upto") > F.floor(((F.col("_n") - 1) * p + 99) / 100), F.col("_l")))
+    return counts.groupBy(*by).agg(
+        F.sum("_c").alias("n"), F.min("_l").alias("shortest"), F.max("_l").alias("longest"),
+        F.coalesce(F.sum(F.when(F.col("_l") >= limit, F.col("_c"))), F.lit(0)).alias("at_limit"), at(50).alias("median"), at(95).alias("p95"),
+    )

@@ -238,3 +238,9 @@ def test_media(spark):
     assert spark.range(1).select(media.redacted(F.lit("x /a/b/c /a"), {"/a": "home", "/a/b": "root"}).alias("x")).first().x == "x <root>/c <home>"
     text = 'x {"a":1} {"input_i":"-18","output_i":"-18","input_tp":"-2"} y'
     assert spark.createDataFrame([(text,)], "t string").select(artifacts.loudness(F.col("t")).alias("x")).first().x.input_tp == "-2"
+
+
+def test_length_stats(spark):
+    df = spark.createDataFrame([("a", n) for n in (9, 1, 5, 5, 2)] + [("b", 1), ("b", 2)], "k string, n int")
+    got = {r.k: (r.n, r.shortest, r.median, r.p95, r.longest, r.at_limit) for r in chunks.length_stats(df, F.col("n"), 5, "k").collect()}
+    assert got == {"a": (5, 1, 5, 9, 9, 3), "b": (2, 1, 2, 2, 2, 0)}
