@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from libretto.functions.text import is_references
+from libretto.functions.text import is_references, preview
 
 
 def segmented(rows: DataFrame, book: str = "book_id", pos: str = "pos", level: str = "level", text: str = "text", at: int = 1, front: str = "Front matter") -> DataFrame:
@@ -66,3 +66,21 @@ def scope(chapters: DataFrame, requested: list[str] | None, chapter: str = "chap
     if [r[0] for r in rows] != requested or rows[-1][1] - rows[0][1] + 1 != len(rows):
         raise ValueError("chapters must be contiguous and in order")
     return found
+
+#: Kinds of blocks that a configuration may exclude; fixed values.
+EXCLUDABLE = ("caption", "footnote", "table")
+
+
+def diverted(blocks: DataFrame, kinds: list[str], kind: str = "kind", text: str = "display_text", allowed: tuple[str, ...] = EXCLUDABLE) -> tuple[DataFrame, DataFrame]:
+    """(blocks that stay, exclusions): blocks of the kinds become exclusions with a preview of their text."""
+    if len(set(kinds)) != len(kinds) or not set(kinds) <= set(allowed):
+        raise ValueError(f"only {', '.join(allowed)} can be excluded, once each")
+    gone = F.coalesce(F.col(kind).isin(kinds), F.lit(False))
+    rest = [c for c in blocks.columns if c not in (kind, text)]
+    said = F.concat(F.col(kind), F.lit(": "), preview(F.col(text)))
+    return blocks.where(~gone), blocks.where(gone).select(*rest, F.lit("configured-block-exclusion").alias("reason_code"), said.alias("description"))
+
+
+def own_warnings(warnings: Column, kind: Column) -> Column:
+    """A block's warnings, less the request to review equations where the block is one."""
+    return F.filter(warnings, lambda w: ~((kind == "equation") & w.startswith("equation-requires-review")))

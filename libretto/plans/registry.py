@@ -299,6 +299,12 @@ def ast_blocks(spark, sf):
     return spark.sql("SELECT conv_id, turn, b.pos, b.kind, length(b.text) AS n FROM libretto_ast, LATERAL ast_blocks(ast) b")
 
 
+@query("""SELECT conv_id, turn, 'configured-block-exclusion' AS reason_code, 'footnote: ' || CASE WHEN length(text) <= 120 THEN text ELSE left(text, 117) || '...' END AS description FROM conversations WHERE role = 'system'""")
+def configured_exclusions(spark, sf):
+    c = table(spark, sf, "conversations", "conv_id", "turn", "role", "text").select("conv_id", "turn", F.when(F.col("role") == "system", "footnote").otherwise("paragraph").alias("kind"), F.col("text").alias("display_text"))
+    return chapters.diverted(c, ["footnote"])[1]
+
+
 # ---- hashes, keys, lineage
 
 

@@ -244,3 +244,16 @@ def test_length_stats(spark):
     df = spark.createDataFrame([("a", n) for n in (9, 1, 5, 5, 2)] + [("b", 1), ("b", 2)], "k string, n int")
     got = {r.k: (r.n, r.shortest, r.median, r.p95, r.longest, r.at_limit) for r in chunks.length_stats(df, F.col("n"), 5, "k").collect()}
     assert got == {"a": (5, 1, 5, 9, 9, 3), "b": (2, 1, 2, 2, 2, 0)}
+
+
+def test_diverted_blocks_and_their_warnings(spark):
+    df = spark.createDataFrame([(1, "footnote", "n" * 130), (2, "paragraph", "p"), (3, None, "x")], "id int, kind string, display_text string")
+    stay, gone = chapters.diverted(df, ["footnote", "table"])
+    assert [r.id for r in stay.orderBy("id").collect()] == [2, 3]
+    (r,) = gone.collect()
+    assert r.reason_code == "configured-block-exclusion" and r.description == "footnote: " + "n" * 117 + "..."
+    for bad in (["heading"], ["table", "table"]):
+        with pytest.raises(ValueError):
+            chapters.diverted(df, bad)
+    w = spark.createDataFrame([("equation", ["equation-requires-review: x", "b"]), ("paragraph", ["equation-requires-review: x"])], "k string, w array<string>")
+    assert [r.x for r in w.select(chapters.own_warnings(F.col("w"), F.col("k")).alias("x")).collect()] == [["b"], ["equation-requires-review: x"]]
