@@ -27,8 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-#: Rows of ids and numbers that make a file of a few MB.
-FILE_ROWS = 250_000
+#: Rows of ids and numbers that make a file of about a MB.
+FILE_ROWS = 50_000
 
 
 def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -58,6 +58,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows in an Arrow batch of whole texts, at most.
+BATCH_ROWS = 1000
+
+
+def lean(spark: SparkSession) -> None:
+    """Whole texts cross to Python in batches of few rows, as a batch stands in memory several times."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def batches(frame: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each has about `most` bytes in column `text`; a longer text stands alone."""
     import numpy as np

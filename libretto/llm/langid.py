@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from libretto.llm.common import batches
+from libretto.llm.common import batches, lean
 
 PER_LANGUAGE, WORDS_EACH, MOST_LANGUAGES = 400, 240, 64
 BITS, ROUNDS, LENGTH, STEP, KNOWN = 17, 240, 40, 64, 200_000
@@ -288,6 +288,7 @@ def predicted(df: DataFrame, model: Model, text: str = "text", added: tuple[str,
 
     added: the new columns' names; columns of df that have these names are replaced.
     """
+    lean(df.sparkSession)
     span = StructType([StructField("lang", StringType()), StructField("first", IntegerType()), StructField("words", IntegerType())])
     keep = [c for c in df.columns if c not in added]
     schema = df.select(keep).schema.add(added[0], StringType()).add(added[1], DoubleType()).add(added[2], ArrayType(span))

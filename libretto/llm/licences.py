@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType, StringType
 
-from libretto.llm.common import batches
+from libretto.llm.common import batches, lean
 
 THRESHOLD, LINES = 0.8, 4
 
@@ -54,6 +54,7 @@ def bigrams(found: list[bytes]) -> set:
 def scanned(df: DataFrame, text: str = "text", templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, most_lines: int = LINES) -> DataFrame:
     """df with licence, score, first_line (from 0) and n_lines of its best match, else nulls."""
     added = {"licence": StringType(), "score": DoubleType(), "first_line": IntegerType(), "n_lines": IntegerType()}
+    lean(df.sparkSession)
     keep = [c for c in df.columns if c not in added]
     schema = df.select(keep).schema
     for name, kind in added.items():

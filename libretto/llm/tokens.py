@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from libretto.llm.common import batches
+from libretto.llm.common import batches, lean
 
 MARK = "▁"
 TABLE = 200_000
@@ -84,6 +84,7 @@ class Chunks:
 
 def encoded(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """df with `ids` (array of int, without begin or end ids) and `decoded` (the library's decode of them)."""
+    lean(df.sparkSession)
     keep = [c for c in df.columns if c not in (ids, decoded)]
     schema = df.select(keep).schema.add(ids, ArrayType(IntegerType())).add(decoded, StringType())
 
