@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from libretto.llm.common import batches, block_units, components, forest, grouped, stored
+from libretto.llm.common import batches, block_units, components, forest, grouped, lean, stored
 
 SHINGLE, SIMILARITY, ROWS, RECALL, CHUNK = 5, 0.8, 5, 0.9999, 100_000
 
@@ -103,6 +103,7 @@ def signed(df: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
     """Rows <key>, n_links (other documents linked directly), class_id (the smallest id reachable by links): one for each row of df."""
+    lean(df.sparkSession)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sets = stored(signed(docs, size, bands_for(similarity, rows, recall), rows))
     fine = sets.where("s1 is not null and key is not null")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from libretto.llm.common import batches, bucketed, grouped, partitions, stored
+from libretto.llm.common import batches, bucketed, grouped, lean, partitions, stored
 
 LENGTH, GRAM, KINDS, SHARD_BYTES = 100, 40, 4096, 1 << 20
 
@@ -179,6 +179,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     spans (array of start, end: the maximal removed runs), kept (the bytes that remain, null if nothing
     was removed) and kept_text (kept with the characters that a cut would split left whole)."""
     spark = df.sparkSession
+    lean(spark)
     docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
     prints = stored(fingerprints(docs, length, k))
     known = stored(firsts(prints.drop("anchors"), "n_bytes", length), prints.count())
