@@ -8,9 +8,11 @@ a document with a smaller id. The index grows by batches of documents:
 * each batch is written as a run: fingerprint rows (hash, document) sorted by hash, never changed
   later. A new batch is merge-joined with the earlier runs and with itself, which names the
   documents, old and new, that share a fingerprint;
-* the hits are verified in the documents' texts: windows under a shared fingerprint are compared by
-  128 bits of their words' hashes, and a window of the new batch that also starts in a document
-  with a smaller id covers words to remove;
+* the hits are verified in the documents' texts. Neighbouring windows under one shared fingerprint are
+  a piece; equal pieces (128 bits of their words' hashes) are aggregated to their first document,
+  which settles all others. Only where a fingerprint has different pieces, the first of each kind are
+  compared window by window, again by 128 bits. A window of the new batch that also starts in a
+  document with a smaller id covers words to remove;
 * when there are more than `most_runs` runs they are compacted: merged into one sorted run.
 
 Of documents of a batch with the same words only the first is searched; the others lose all their
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from libretto.llm.common import batches, bucketed, shared_dir, stored
+from libretto.llm.common import batches, bucketed, lean, shared_dir, stored
 from libretto.llm.suffixes import firsts, heads_of, same_text, union, whole
 
 LENGTH, GRAM, MOST_RUNS = 50, 26, 8
@@ -68,6 +70,7 @@ class SubstringIndex:
 
     def __init__(self, spark: SparkSession, length: int = LENGTH, k: int = GRAM, most_runs: int = MOST_RUNS):
         self.spark, self.length, self.k, self.most_runs = spark, length, k, most_runs
+        lean(spark)
         self.folder = f"{shared_dir(spark)}/libretto/index-{uuid.uuid4().hex}"
         self.runs: list[str] = []
         self.texts: list[DataFrame] = []
@@ -118,14 +121,22 @@ class SubstringIndex:
         for more in self.texts[1:]:
             every = every.unionByName(more)
         texts = bucketed(same_text(every, wanted).select("key", "x", "v", "text", "shared"), "key")
-        windows = stored(self._windows(texts.select("key", "v", "text", "shared")))
-        low = windows.groupBy("w1", "w2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("w1", "w2", "low")
-        covered = windows.join(stored(low), ["w1", "w2"]).where("key > low").groupBy("key", "v").agg(F.collect_set("start").alias("starts"))
+        pieces = stored(self._pieces(texts.select("key", "v", "text", "shared")))
+        low = pieces.groupBy("mini", "c").agg(F.min("key").alias("low"))
+        several = low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        low = stored(low.join(several, "mini", "left"))
+        gone = F.col("key") > F.col("low")
+        placed = stored(pieces.join(low, ["mini", "c"]).where(gone | F.col("kinds").isNotNull()).select("key", "v", "start", "n", gone.alias("gone")))
+        open_ = placed.where("not gone").groupBy("key", "v").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+        windows = stored(self._windows(same_text(texts.select("key", "v", "text"), open_, by="v")))
+        met = windows.groupBy("w1", "w2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("w1", "w2", "low")
+        found = windows.join(stored(met), ["w1", "w2"]).where("key > low").select("key", "v", "start", F.lit(1).alias("n"))
+        covered = placed.where("gone").select("key", "v", "start", "n").unionByName(found).groupBy("key", "v").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
         changed = self._rest(same_text(texts.select("key", "x", "v", "text"), covered, by="v"))
         return whole(known, changed, "n_words", key)
 
-    def _windows(self, texts: DataFrame) -> DataFrame:
-        """The windows under a shared fingerprint: two independent hashes, document and place."""
+    def _pieces(self, texts: DataFrame) -> DataFrame:
+        """Runs of windows with one shared fingerprint: its hash, another of all the words, document, first window, windows."""
         length, k = self.length, self.k
 
         def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,18 +144,44 @@ class SubstringIndex:
 
             from libretto.llm import grams
 
-            for batch in batches(frame, "text", 1 << 20):
+            for batch in batches(frame, "text"):
                 out = []
                 for value, shared, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
-                    starts, ends = grams.words(value)
-                    symbols = grams.word_hashes(value, starts, ends)
+                    symbols = grams.word_hashes(value, *grams.words(value))
                     at, all_grams = grams.minimisers(symbols, length, k)
-                    keep = np.flatnonzero(np.isin(all_grams[at].view(np.int64), shared.values.to_numpy()))
-                    if len(keep):
-                        w = [grams.windows(symbols, length, lane)[keep].view(np.int64) for lane in (0, 1)]
-                        out.append((*w, np.full(len(keep), key), np.full(len(keep), v, dtype=np.int32), keep.astype(np.int32)))
+                    if not len(at):
+                        continue
+                    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                    n = np.diff(np.append(start, len(at)))
+                    mini = all_grams[at[start]].view(np.int64)
+                    keep = np.isin(mini, shared.values.to_numpy())
+                    mini, start, n = mini[keep], start[keep], n[keep]
+                    c = grams.ranges(grams.sums(symbols, grams.BASES[1]), start, start + n + length - 1, grams.BASES[1]).view(np.int64)
+                    out.append((mini, c, np.full(len(mini), key), np.full(len(mini), v, dtype=np.int32), start.astype(np.int32), n.astype(np.int32)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["mini", "c", "key", "v", "start", "n"])
+
+        return texts.mapInArrow(run, "mini long, c long, key long, v int, start int, n int")
+
+    def _windows(self, texts: DataFrame) -> DataFrame:
+        """The windows of the runs in column runs: two independent hashes, document and place."""
+        length = self.length
+
+        def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import numpy as np
+
+            from libretto.llm import grams
+
+            for batch in batches(frame, "text", 1 << 20):
+                out = []
+                for value, runs, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs"), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                    symbols = grams.word_hashes(value, *grams.words(value))
+                    first, n = (runs.values.field(i).to_numpy() for i in (0, 1))
+                    at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    w = [grams.windows(symbols, length, lane)[at].view(np.int64) for lane in (0, 1)]
+                    out.append((*w, np.full(len(at), key), np.full(len(at), v, dtype=np.int32), at.astype(np.int32)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], names=["w1", "w2", "key", "v", "start"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["w1", "w2", "key", "v", "start"])
 
         return texts.mapInArrow(run, "w1 long, w2 long, key long, v int, start int")
 
@@ -157,9 +194,10 @@ class SubstringIndex:
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             for batch in batches(frame, "text"):
                 spans, kept = [], []
-                for value, starts in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("starts"), strict=True):
-                    words, at = value.split(), starts.values.to_numpy()
-                    merged = union(at, at.astype(np.int64) + length)
+                for value, runs in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs"), strict=True):
+                    words = value.split()
+                    first, n = (runs.values.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+                    merged = union(first, first + n + length - 1)
                     spans.append([{"start": a, "end": b} for a, b in merged])
                     ends = [0, *(b for _, b in merged)]
                     kept.append(b" ".join(w for a, b in zip(ends, [*(a for a, _ in merged), len(words)], strict=True) for w in words[a:b]))
