@@ -122,9 +122,9 @@ class SubstringIndex:
             every = every.unionByName(more)
         texts = bucketed(same_text(every, wanted).select("key", "x", "v", "text", "shared"), "key")
         pieces = stored(self._pieces(texts.select("key", "v", "text", "shared")))
-        low = pieces.groupBy("mini", "c").agg(F.min("key").alias("low"))
-        several = low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1")
-        low = stored(low.join(several, "mini", "left"))
+        low = stored(pieces.groupBy("mini", "c").agg(F.min("key").alias("low")))
+        several = stored(low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+        low = low.join(several, "mini", "left")
         gone = F.col("key") > F.col("low")
         placed = stored(pieces.join(low, ["mini", "c"]).where(gone | F.col("kinds").isNotNull()).select("key", "v", "start", "n", gone.alias("gone")))
         open_ = placed.where("not gone").groupBy("key", "v").agg(F.collect_list(F.struct("start", "n")).alias("runs"))

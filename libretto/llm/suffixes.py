@@ -213,9 +213,9 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length:
 
     # A piece is known by two independent hashes: that of its minimiser and that of all of it.
     pieces = stored(texts.select("key", "v", "text", "shared").mapInArrow(cut, "mini long, c long, key long, v int, start int, n int, again boolean"))
-    low = pieces.where("not again").groupBy("mini", "c").agg(F.min("key").alias("low"))
-    several = low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    low = stored(low.join(several, "mini", "left"))
+    low = stored(pieces.where("not again").groupBy("mini", "c").agg(F.min("key").alias("low")))
+    several = stored(low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    low = low.join(several, "mini", "left")
     gone = F.col("again") | (F.col("key") > F.col("low"))
     open_ = ~gone & F.col("kinds").isNotNull()
     placed = stored(pieces.join(low, ["mini", "c"]).where(gone | open_).select("key", "v", "start", "n", F.when(~gone, F.col("mini")).alias("mini"), F.when(~gone, F.col("kinds")).alias("kinds")))
