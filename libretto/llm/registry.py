@@ -77,6 +77,12 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scanned(docs).select("doc_id", "licence", "score", "first_line", "n_lines")
 
 
+def op10_licence_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every statement by windows of words; op10_licences gives the best window of lines, as its SQL does."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.stated(docs).select("doc_id", "statements")
+
+
 def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
@@ -204,6 +210,7 @@ def queries() -> dict:
         "op8_langid": op8_langid,
         "op9_topk": op9_topk,
         "op10_licences": op10_licences,
+        "op10_licence_statements": op10_licence_statements,
     }
 
 

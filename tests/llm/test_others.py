@@ -260,3 +260,55 @@ def test_licences(spark):
         want = brute_licence(texts[r.i])
         assert (None if r.licence is None else (r.licence, r.score, r.first_line, r.n_lines)) == want, texts[r.i]
     assert licences.scanned(df.limit(0)).count() == 0
+
+
+def brute_statements(text, templates, threshold=0.8):
+    """All windows of words that begin with a template's bigram, the best first, then the best that share no word with one taken."""
+    ws, out = licences.words(text.encode()), []
+    for name, t in templates.items():
+        own = licences.words(t.encode())
+        b, most = licences.bigrams(own), max(1, int((len(own) - 1) * (2 - threshold) / threshold + 1e-9) + (len(own) > 1))
+        scored = []
+        for i in range(len(ws)):
+            if len(own) > 1 and tuple(ws[i : i + 2]) not in b:
+                continue
+            for n in range(1, min(most, len(ws) - i) + 1):
+                a = licences.bigrams(ws[i : i + n])
+                if (score := 2 * len(a & b) / (len(a) + len(b))) >= threshold:
+                    scored.append((-score, i, n))
+        taken = set()
+        for score, i, n in sorted(scored):
+            if taken.isdisjoint(range(i, i + n)):
+                taken |= set(range(i, i + n))
+                out.append((name, -score, i, n))
+    return sorted(out, key=lambda x: (x[2], x[3], x[0]))
+
+
+def test_statements_inside_lines_and_in_full(spark):
+    inline = {
+        "Copyright 2020 Example Corp. All rights reserved.": "all-rights-reserved",
+        "This package is released under the MIT License, see the file LICENSE for details.": "MIT",
+        "The text of this article is licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "It is\nlicensed\nunder\nthe\nApache\nLicense,\nVersion\n2.0, so": "Apache-2.0",
+    }
+    wordings = licences.wordings()
+    whole = {f"Intro words. {' '.join(wordings[n].split())} And more.": n for n in ("ISC text", "LGPL-2.1 text", "MPL-2.0 text", "GPL-3.0 text")}
+    both = "Code: released under the MIT License. Images: licensed under CC BY-SA 4.0. All rights reserved. Again: all rights reserved."
+    texts = [*inline, *whole, both, None, "", "12 words that state nothing of the kind", "mit"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, statements string")
+    got = {r.i: r.statements for r in licences.stated(df).collect()}
+    for i, want in enumerate([*inline.values(), *whole.values()]):
+        assert max((s.score, s.licence) for s in got[i] if s.licence == want)[0] >= 0.97, texts[i][:80]
+    assert (got[3][0].first_line, got[3][0].n_lines) == (1, 7)
+    assert sorted(s.licence for s in got[len(inline) + len(whole)] if s.score == 1) == ["CC-BY-SA-4.0", "MIT", "all-rights-reserved", "all-rights-reserved"]
+    assert all(got[i] == [] for i in range(len(texts) - 4, len(texts)))
+    assert licences.stated(df.limit(0)).count() == 0
+
+
+def test_statements_are_all_windows():
+    rng = random.Random(12)
+    templates = {"a": "p q r s", "b": "q r q r s t", "c": "p", "d": "s s t", "e": "p q"}
+    scan = licences.Statements(templates, 0.8)
+    for _ in range(400):
+        text = " ".join(rng.choice("pqrst") for _ in range(rng.randrange(30)))
+        assert [x[:4] for x in scan.all(text.encode())] == brute_statements(text, templates), text
