@@ -14,6 +14,11 @@ different languages, so that switches are seen. Predictions read whole texts and
 A text that is null or has no letters is `und` with score 0, as is every text when nothing could be
 learned; a single learned language gets all other texts, with score 1. Repeated rows are predicted
 alike; other columns are kept.
+
+Every label that occurs is learned. What grows with their number is bounded otherwise: the weights
+by fewer hash bits (CELLS), the words held and scored at a time by smaller tables and blocks; rounds
+of training grow with the labels beyond ROUNDS_FOR, and texts taken of each label shrink where there are
+more than ALL_TEXTS / PER_LANGUAGE labels. A line is one sequence and is scored whole.
 """
 
 from __future__ import annotations
@@ -28,8 +33,10 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 
 from libretto.llm.common import batches, lean
 
-PER_LANGUAGE, WORDS_EACH, MOST_LANGUAGES = 400, 240, 64
+PER_LANGUAGE, WORDS_EACH, ALL_TEXTS = 400, 240, 102_400
 BITS, ROUNDS, LENGTH, STEP, KNOWN = 17, 240, 40, 64, 200_000
+#: Weights; labels up to which ROUNDS suffice; scores (words x labels) of the table of words and of a block.
+CELLS, ROUNDS_FOR, TABLE_CELLS, BLOCK_CELLS = 1 << 24, 64, 1 << 23, 1 << 21
 UND = "und"
 
 #: Bytes that part words: ASCII but letters; line breaks part sequences.
@@ -132,12 +139,18 @@ def marginals(scores, lengths, transition, start):
     return out, logz, pairs
 
 
+def bits_for(labels: int) -> int:
+    """As many hash bits, BITS at most, as leave the weights of all labels within CELLS."""
+    return max(1, min(BITS, (CELLS // max(1, labels)).bit_length() - 1))
+
+
 class Model:
     """Weights (features, labels), transitions (labels, labels) and start scores."""
 
-    def __init__(self, labels: list[str], bits: int = BITS):
+    def __init__(self, labels: list[str], bits: int | None = None):
         import numpy as np
 
+        bits = bits_for(len(labels)) if bits is None else bits
         self.labels, self.features = labels, Features(bits)
         self.weight = np.zeros((1 << bits, len(labels)), dtype=np.float32)
         self.move = np.zeros((len(labels), len(labels)))
@@ -146,18 +159,23 @@ class Model:
     def emissions(self, words: list[bytes]):
         import numpy as np
 
-        ids, starts = self.features.of(words)
-        return np.add.reduceat(self.weight[ids], starts, axis=0).astype(np.float64)
+        out = np.empty((len(words), len(self.labels)))
+        step = max(1, BLOCK_CELLS // (16 * len(self.labels)))  # about 16 features a word
+        for i in range(0, len(words), step):
+            ids, starts = self.features.of(words[i : i + step])
+            out[i : i + step] = np.add.reduceat(self.weight[ids], starts, axis=0)
+        return out
 
-    def fit(self, texts: list[tuple[str, int]], rounds: int = ROUNDS, each: int = STEP, length: int = LENGTH, seed: int = 11) -> Model:
+    def fit(self, texts: list[tuple[str, int]], rounds: int | None = None, each: int = STEP, length: int = LENGTH, seed: int = 11) -> Model:
         """Adagrad on the likelihood of sequences cut from texts [(text, label)], half of them spliced."""
         import numpy as np
 
         rng = np.random.default_rng(seed)
+        rounds = ROUNDS * max(ROUNDS_FOR, len(self.labels)) // ROUNDS_FOR if rounds is None else rounds
         by = [[] for _ in self.labels]
         for text, label in texts:
             if words := [w for line in cut(text) for w in line][:WORDS_EACH]:
-                by[label].append(words)
+                by[label].append(b" ".join(words))
         full = [i for i, x in enumerate(by) if x]
         if len(full) < 2:
             return self
@@ -168,7 +186,7 @@ class Model:
                 chosen = rng.choice(full, size=1 + (s % 2), replace=False)
                 got = 0
                 for label in chosen:
-                    own = by[label][rng.integers(len(by[label]))]
+                    own = by[label][rng.integers(len(by[label]))].split(b" ")
                     n = int(rng.integers(2, 1 + max(2, length // len(chosen))))
                     at = int(rng.integers(0, max(1, len(own) - n + 1)))
                     piece = own[at : at + n]
@@ -181,7 +199,7 @@ class Model:
             of = np.array([where[w] for w in words])
             gold, lengths = np.array(gold), np.array(lengths)
             ids, starts = self.features.of(distinct)
-            scores = np.add.reduceat(self.weight[ids], starts, axis=0).astype(np.float64)[of]
+            scores = self.emissions(distinct)[of]
             p, _, pairs = marginals(scores, lengths, self.move, self.start)
             diff = -p
             diff[np.arange(len(gold)), gold] += 1
@@ -189,11 +207,14 @@ class Model:
             np.add.at(per, of, diff.astype(np.float32))
             counts = np.diff(np.append(starts, len(ids)))
             used, back = np.unique(ids, return_inverse=True)
-            g = np.zeros((len(used), len(self.labels)), dtype=np.float32)
-            np.add.at(g, back, np.repeat(per, counts, axis=0))
-            g = g / each - 1e-4 * self.weight[used]
-            grad2[used] += g * g
-            self.weight[used] += 0.3 * g / np.sqrt(grad2[used])
+            step = max(1, BLOCK_CELLS // len(ids))
+            for i in range(0, len(self.labels), step):
+                block = slice(i, min(i + step, len(self.labels)))
+                g = np.zeros((len(used), block.stop - i), dtype=np.float32)
+                np.add.at(g, back, np.repeat(per[:, block], counts, axis=0))
+                g = g / each - 1e-4 * self.weight[used, block]
+                grad2[used, block] += g * g
+                self.weight[used, block] += 0.3 * g / np.sqrt(grad2[used, block])
             first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             inner = np.ones(len(gold), dtype=bool)
             inner[first] = False
@@ -211,7 +232,7 @@ class Model:
         """Emission scores of words; a bounded table keeps those of the words met so far."""
         import numpy as np
 
-        if not hasattr(self, "known") or len(self.known) > KNOWN:
+        if not hasattr(self, "known") or len(self.known) > min(KNOWN, TABLE_CELLS // len(self.labels)):
             self.known, self.table = {}, np.empty((0, len(self.labels)))
         known = self.known
         if new := [w for w in set(words) if w not in known]:
@@ -236,17 +257,26 @@ class Model:
         words = [w for d in docs for line in d for w in line]
         if not words or not self.labels:
             return [none] * len(texts)
-        scores = self.looked_up(words)
         lengths = np.array([len(line) for d in docs for line in d])
-        p, _, _ = marginals(scores, lengths, self.move, self.start)
-        picked = p.argmax(1)
+        of = np.repeat([i for i, d in enumerate(docs) for _ in d], lengths)  # each word's document
+        picked = np.empty(len(words), dtype=np.int64)
+        sums = np.zeros((len(docs), len(self.labels)))
+        ends, line, start = np.cumsum(lengths), 0, 0
+        while line < len(lengths):  # whole lines, of about BLOCK_CELLS scores
+            stop = max(line + 1, int(np.searchsorted(ends, start + BLOCK_CELLS // len(self.labels), side="right")))
+            end = int(ends[stop - 1])
+            p, _, _ = marginals(self.looked_up(words[start:end]), lengths[line:stop], self.move, self.start)
+            picked[start:end] = p.argmax(1)
+            first = np.flatnonzero(np.append(True, of[start + 1 : end] != of[start : end - 1]))
+            sums[of[start:end][first]] += np.add.reduceat(p, first, axis=0)
+            line, start = stop, end
         out, at = [], 0
-        for d in docs:
+        for i, d in enumerate(docs):
             n = sum(map(len, d))
             if not n:
                 out.append(none)
                 continue
-            mean = p[at : at + n].mean(0)
+            mean = sums[i] / n
             best = int(mean.argmax())
             own = picked[at : at + n]
             turns = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
@@ -261,18 +291,18 @@ def has_letter(text: str) -> bool:
 
 
 def sample(df: DataFrame, usable: Column, text: str, lang: str, key: str, most: int) -> list[tuple[str, str]]:
-    """At most `most` texts of each language, those with the smallest hashes of their ids; texts come cut."""
+    """At most `most` texts of each language, ALL_TEXTS in all, those with the smallest hashes of their ids; texts come cut."""
     names = df.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), key, F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":lang"))).alias("o"), F.substring(text, 1, WORDS_EACH * 16).alias("text"))
     # A sum per language and hash range first: the ranges that hold enough rows bound what is ranked.
     sizes = names.groupBy("lang", F.substring("o", 1, 3).alias("r")).agg(F.count("*").alias("n"))
-    few = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("r")) - F.col("n")).where(F.col("before") < most)
-    limits = few.groupBy("lang").agg(F.max("r").alias("top"), F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    if not limits:
+    labels = sizes.agg(F.countDistinct("lang")).first()[0]
+    if not labels:
         return []
-    keep = F.lit(False)
-    for r in limits:
-        keep = keep | ((F.col("lang") == r.lang) & (F.substring("o", 1, 3) <= r.top))
-    ranked = names.where(keep).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", key, "text"))).where(F.col("k") <= most)
+    most = max(1, min(most, ALL_TEXTS // labels))
+    few = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("r")) - F.col("n")).where(F.col("before") < most)
+    limits = few.groupBy("lang").agg(F.max("r").alias("top"))
+    near = names.join(F.broadcast(limits), "lang").where(F.substring("o", 1, 3) <= F.col("top"))
+    ranked = near.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", key, "text"))).where(F.col("k") <= most)
     return [(r.text, r.lang) for r in ranked.orderBy("lang", "k").select("text", "lang").collect()]
 
 
@@ -292,7 +322,7 @@ def predicted(df: DataFrame, model: Model, text: str = "text", added: tuple[str,
     span = StructType([StructField("lang", StringType()), StructField("first", IntegerType()), StructField("words", IntegerType())])
     keep = [c for c in df.columns if c not in added]
     schema = df.select(keep).schema.add(added[0], StringType()).add(added[1], DoubleType()).add(added[2], ArrayType(span))
-    shared = df.sparkSession.sparkContext.broadcast(model)  # 2^BITS weights a language, at most MOST_LANGUAGES of them
+    shared = df.sparkSession.sparkContext.broadcast(model)  # CELLS weights at most, for all languages together
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

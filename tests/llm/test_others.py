@@ -204,6 +204,32 @@ def test_nothing_to_learn_from(spark):
     assert langid.predicted(one.limit(0), langid.trained(one.limit(0), F.lit(True))).count() == 0
 
 
+def test_every_label_is_learned(spark):
+    rng = random.Random(21)
+    names = [f"l{i:02d}" for i in range(80)]
+    sounds = "bdfgklmnprst"
+    own = {x: ["".join(rng.choice(sounds) + rng.choice("aeiou") for _ in range(3)) + x[1:].translate(str.maketrans("0123456789", "qwxyzvjhcö")) for _ in range(12)] for x in names}
+    # The rarest labels have the fewest rows: l00 has one, l79 has five.
+    rows = [(n * 100 + k, " ".join(rng.choice(own[x]) for _ in range(30)), x) for n, x in enumerate(names) for k in range(1 + n // 16)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.trained(df, F.lit(True))
+    assert model.labels == names and model.weight.size <= langid.CELLS
+    new = [(n, " ".join(rng.choice(own[x]) for _ in range(20)), x) for n, x in enumerate(names)]
+    got = langid.predicted(spark.createDataFrame(new, "doc_id long, text string, lang string"), model).collect()
+    wrong = [r.lang for r in got if r.lang_pred != r.lang]
+    assert len(wrong) <= 2, wrong
+
+
+def test_more_labels_take_fewer_bits_and_blocks_change_nothing(monkeypatch):
+    assert [langid.bits_for(n) for n in (0, 4, 64, 128, 129, 1000)] == [17, 17, 17, 17, 16, 14]
+    model = langid.Model(["a", "b"]).fit([("ka lo mi nu re ka", 0), ("sé ta vo zi ñe sé", 1)], rounds=20)
+    texts = ["ka lo\nsé ta\n\nmi", None, "vo " * 50 + "\nka ka", "12", "zi\nñe\nka"]
+    whole = model.label(texts)
+    monkeypatch.setattr(langid, "BLOCK_CELLS", 4)
+    parts = model.label(texts)
+    assert [(x[0], x[2]) for x in whole] == [(x[0], x[2]) for x in parts] and np.allclose([x[1] for x in whole], [x[1] for x in parts])
+
+
 # ---- top-k
 
 
