@@ -74,6 +74,31 @@ def test_redirects_move_blocks_and_rules_stand_above(spark):
     assert urls.filtered(df).count() == len(pages) and urls.filtered(df.limit(0)).count() == 0
 
 
+def test_relative_targets_entities_and_fragments(spark):
+    block = "https://x.net/fr/1"
+    pages = [
+        (1, "http://x.example.org/p/5", '<link rel=canonical href="//x.net/fr/1">', "block"),
+        (2, "https://x.example.org/p/5", '<link rel=canonical href="//x.net/fr/1">', "block"),
+        (3, "https://x.net/a/b", '<LINK HREF="/fr/1" REL="canonical">', "block"),
+        (4, "https://x.net/a/c", '<link rel="canonical" href="../fr/1#part">', "block"),
+        (5, "https://x.net/a/d#top", "", "block"),
+        (6, "https://x.net/a/d", f'<meta http-equiv="refresh" content="0; URL=\'{block}#x\'">', "block"),
+        (7, "https://y.org/", '<base href="https://x.net/fr/"><link rel=canonical href=1>', "block"),
+        (8, "https://y.org/q?a=1&b=2", "", "block"),
+        (9, "https://x.net/fr/2", '<link rel=canonical href="https://y.org/q?a=1&amp;b=2">', "block"),
+        (10, "https://y.org/r?a=1&b=2", "", "block"),
+        (11, "https://x.net/fr/3", '<meta content="1;url=//y.org/r?a=1&amp;b=2" http-equiv=refresh>', "block"),
+        (12, "no scheme", '<link rel=canonical href="/fr/1">', "allow"),
+        (13, "https://y.org/[", '<link rel=canonical href="//[bad/"><link rel=canonical href="">', "allow"),
+        (14, "https://y.org/s", '<link rel=stylesheet href="//x.net/fr/1"><p>canonical', "allow"),
+    ]
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id int, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.filtered(df).collect()}
+    rules = (*urls.RULES, ("x.net", "/a/", "allow"))
+    assert got == {p[0]: p[3] for p in pages}
+    assert {r.page_id for r in urls.filtered(df, rules).where("verdict = 'block'").collect()} == {1, 2, 7, 8, 9, 10, 11}
+
+
 # ---- vectors
 
 
