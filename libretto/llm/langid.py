@@ -7,8 +7,9 @@ they are hashed into one table of weights per language. Each line is a sequence.
 gives every word's marginal probabilities; a text's language is the one with the largest mean
 marginal over its words, which is the score (ties: the smaller label).
 
-Training takes a bounded sample of labelled rows, at most PER_LANGUAGE of each language and
-WORDS_EACH words of each text, chosen by hash; half of the training sequences splice two texts of
+Training takes a bounded sample of labelled rows, at most PER_LANGUAGE of each language, chosen by
+hash, and of each text at most WORDS_EACH words in runs of RUN at hashed places of the whole text
+(BYTES_EACH bytes; what is left of a longer word's room is a hashed piece of it); half of the training sequences splice two texts of
 different languages, so that switches are seen. Predictions read whole texts and nothing but text.
 
 A text that is null or has no letters is `und` with score 0, as is every text when nothing could be
@@ -35,6 +36,8 @@ from libretto.llm.common import batches, lean
 
 PER_LANGUAGE, WORDS_EACH, ALL_TEXTS = 400, 240, 102_400
 BITS, ROUNDS, LENGTH, STEP, KNOWN = 17, 240, 40, 64, 200_000
+#: Words of a run, and bytes, that training takes of a text.
+RUN, BYTES_EACH = 40, 48 * WORDS_EACH
 #: Weights; labels up to which ROUNDS suffice; scores (words x labels) of the table of words and of a block.
 CELLS, ROUNDS_FOR, TABLE_CELLS, BLOCK_CELLS = 1 << 24, 64, 1 << 23, 1 << 21
 UND = "und"
@@ -96,6 +99,32 @@ def cut(text: str) -> list[list[bytes]]:
     return [ws for line in lines if (ws := line.split())]
 
 
+def excerpt(text: str) -> bytes:
+    """The words of text that training takes, parted by spaces, in the text's order."""
+    import xxhash
+
+    words = [w for line in cut(text) for w in line]
+    left, room = WORDS_EACH, BYTES_EACH
+    if len(words) <= left and sum(map(len, words)) <= room:
+        return b" ".join(words)
+    seed = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    taken = []
+    for h, i in sorted((xxhash.xxh3_64_intdigest(i.to_bytes(8, "little"), seed), i) for i in range(0, len(words), RUN)):
+        run = words[i : i + min(RUN, left)]
+        for k, w in enumerate(run):
+            if len(w) > room:  # the last piece
+                at = h % (len(w) - room + 1)
+                run = [*run[:k], *w[at : at + room].decode("utf-8", "ignore").encode().split()]
+                room = 0
+                break
+            room -= len(w)
+        taken.append((i, run))
+        left -= len(run)
+        if left <= 0 or room <= 0:
+            break
+    return b" ".join(w for _, run in sorted(taken) for w in run)
+
+
 def marginals(scores, lengths, transition, start):
     """Forward-backward over many sequences at once.
 
@@ -174,8 +203,8 @@ class Model:
         rounds = ROUNDS * max(ROUNDS_FOR, len(self.labels)) // ROUNDS_FOR if rounds is None else rounds
         by = [[] for _ in self.labels]
         for text, label in texts:
-            if words := [w for line in cut(text) for w in line][:WORDS_EACH]:
-                by[label].append(b" ".join(words))
+            if words := excerpt(text):
+                by[label].append(words)
         full = [i for i, x in enumerate(by) if x]
         if len(full) < 2:
             return self
@@ -290,9 +319,21 @@ def has_letter(text: str) -> bool:
     return _LETTER.search(text) is not None
 
 
+def excerpts(df: DataFrame) -> DataFrame:
+    """df with what training takes in the place of column text."""
+    lean(df.sparkSession)
+
+    def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(frame, "text"):
+            cut_down = pa.array([excerpt(x).decode("utf-8", "ignore") for x in batch.column("text").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([cut_down if n == "text" else batch.column(n) for n in batch.schema.names], names=batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def sample(df: DataFrame, usable: Column, text: str, lang: str, key: str, most: int) -> list[tuple[str, str]]:
-    """At most `most` texts of each language, ALL_TEXTS in all, those with the smallest hashes of their ids; texts come cut."""
-    names = df.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), key, F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":lang"))).alias("o"), F.substring(text, 1, WORDS_EACH * 16).alias("text"))
+    """At most `most` texts of each language, ALL_TEXTS in all, those with the smallest hashes of their ids; texts come as excerpts."""
+    names = df.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), key, F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":lang"))).alias("o"), F.col(text).alias("text"))
     # A sum per language and hash range first: the ranges that hold enough rows bound what is ranked.
     sizes = names.groupBy("lang", F.substring("o", 1, 3).alias("r")).agg(F.count("*").alias("n"))
     labels = sizes.agg(F.countDistinct("lang")).first()[0]
@@ -301,7 +342,7 @@ def sample(df: DataFrame, usable: Column, text: str, lang: str, key: str, most:
     most = max(1, min(most, ALL_TEXTS // labels))
     few = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("r")) - F.col("n")).where(F.col("before") < most)
     limits = few.groupBy("lang").agg(F.max("r").alias("top"))
-    near = names.join(F.broadcast(limits), "lang").where(F.substring("o", 1, 3) <= F.col("top"))
+    near = excerpts(names.join(F.broadcast(limits), "lang").where(F.substring("o", 1, 3) <= F.col("top")).select("lang", key, "o", "text"))
     ranked = near.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", key, "text"))).where(F.col("k") <= most)
     return [(r.text, r.lang) for r in ranked.orderBy("lang", "k").select("text", "lang").collect()]
 

@@ -255,6 +255,23 @@ def test_more_labels_take_fewer_bits_and_blocks_change_nothing(monkeypatch):
     assert [(x[0], x[2]) for x in whole] == [(x[0], x[2]) for x in parts] and np.allclose([x[1] for x in whole], [x[1] for x in parts])
 
 
+def test_training_reads_the_whole_text(spark):
+    rng = random.Random(8)
+    header = " ".join(f"shared notice {i} about terms" for i in range(100))
+    word = {"fr": ["le", "chat", "été", "garçon", "où"], "de": ["der", "hund", "straße", "schön", "wo"]}
+    text = lambda x, n: " ".join(rng.choice(word[x]) for _ in range(n))
+    rows = [(i, f"{'12 ' * 2000 if i % 4 > 1 else header} {text(x, 2000)}", x) for i in range(12) for x in [("fr", "de")[i % 2]]]
+    model = langid.trained(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    for x in word:
+        name, score, _ = model.label([text(x, 30)])[0]
+        assert name == x and score > 0.9
+    took = langid.excerpt(rows[0][1]).split()
+    assert len(took) == langid.WORDS_EACH and took != [w for line in langid.cut(rows[0][1]) for w in line][: len(took)]
+    assert langid.excerpt("A b\nC, 1") == b"a b c" and langid.excerpt("") == b""
+    long = langid.excerpt("a " + "漢字" * 50_000 + " b")
+    assert len(long) <= langid.BYTES_EACH + langid.WORDS_EACH and "漢" in long.decode()
+
+
 # ---- top-k
 
 
