@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -20,15 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is named."""
+    """The folder that driver and executors share. Where the session names none, a local master uses
+    one in its warehouse; a cluster must name one."""
     if not (path := spark.conf.get("spark.checkpoint.dir", None)):
-        path = tempfile.mkdtemp(prefix="libretto-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
-#: Rows of ids and numbers that make a file of about a MB.
-FILE_ROWS = 50_000
+#: Rows of ids and numbers that make a file of some MB.
+FILE_ROWS = 200_000
+#: On file: paths no checksum file stands beside each file, which halves the number of files.
+PLAIN = {"compression": "zstd", "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -40,20 +44,45 @@ def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
     path = f"{shared_dir(spark)}/libretto/{uuid.uuid4().hex}"
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**PLAIN).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str) -> DataFrame:
-    """As stored(), dealt by hash of key, so that later joins on key don't shuffle it again."""
+def bucketed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """As stored(), dealt to n buckets by hash of keys, so that later joins on all keys don't shuffle it again."""
     spark = df.sparkSession
-    n = partitions(spark)
     name = f"libretto_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/libretto/{name}"
-    df.repartition(n, key).write.option("compression", "zstd").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(name)
+    df.repartition(n, *keys).write.options(**PLAIN).option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
     return spark.table(name)
 
 
+#: Bytes of text in a bucket of bucketed(), about.
+BUCKET_BYTES = 32 << 20
+
+
+def buckets(spark: SparkSession, size: int) -> int:
+    """Buckets for so many bytes of text: at least one for each core."""
+    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+
+
+def unrepeated(frame: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of frame but those whose keys equal the row's before; in sorted rows, each key's first."""
+    import numpy as np
+
+    last = None
+    for batch in frame:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last != tuple(c[0] for c in columns)
+        last = tuple(c[-1] for c in columns)
+        yield batch if new.all() else batch.filter(pa.array(new))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -147,6 +176,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 def clear(spark: SparkSession) -> None:
     """Delete everything that operators have stored in the shared folder; nothing may read it any more."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("libretto_"):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/libretto")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

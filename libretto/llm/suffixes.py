@@ -6,13 +6,16 @@ document with a smaller id, or in the same document further left. Strings are ju
 1. Each document's k-gram minimisers are its fingerprints (grams.py: equal strings pick equal
    ones, so the search loses nothing). Exact copies are set aside; only the first is searched.
 2. In documents that hold a fingerprint met elsewhere, the runs of strings with one minimiser are
-   cut out (a piece of 100 to 160 bytes). Equal pieces are aggregated to their first document, which
-   settles all others of them. Most pieces of copied passages end here, however many copies there are.
+   cut out (a piece of 100 to 160 bytes). Equal pieces are aggregated to their first document before
+   anything is shuffled to a shard, which settles all others of them, however many copies there are.
+   Pieces under one minimiser are told apart by a 64-bit hash of all their bytes: of m distinct ones
+   two are taken for one with a probability below m * m / 2^65.
 3. The distinct pieces go to shards by minimiser, so that equal strings meet in a shard. Each
    shard's suffix array is built by Larsson-Sadakane refinement, the common prefixes by Kasai's
    scan (both in numpy), and strings with a common prefix of LENGTH form a class, of which the
    earliest stays. A minimiser with more than KINDS distinct pieces is cut over several shards,
-   which are merged pairwise by binary search in their sorted strings.
+   which are merged pairwise by binary search in their sorted strings. A task takes about TASK_BYTES
+   of shards, so that tasks grow in number with the input, not in size.
 
 Rows with one id and one text are one document and get the same result; rows of one id with
 different texts don't remove from each other. A null text counts as empty; a row without an id is
@@ -25,12 +28,12 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from libretto.llm.common import batches, bucketed, grouped, lean, partitions, stored
+from libretto.llm.common import batches, bucketed, buckets, grouped, lean, partitions, stored, unrepeated
 
-LENGTH, GRAM, KINDS, SHARD_BYTES = 100, 40, 4096, 1 << 20
+LENGTH, GRAM, KINDS, SHARD_BYTES, TASK_BYTES = 100, 40, 4096, 1 << 20, 32 << 20
 
 
 def suffix_array(text):
@@ -155,23 +158,15 @@ def fingerprints(df: DataFrame, length: int, k: int) -> DataFrame:
     return df.mapInArrow(run, "key long, x long, n_bytes long, sha256 string, anchors array<long>, repeats boolean")
 
 
-def firsts(known: DataFrame, size: str, least: int) -> DataFrame:
+def firsts(known: DataFrame, size: str, least: int, n: int) -> DataFrame:
     """known with column low: the smallest key that has the row's sha256, where it holds `least` at least."""
     low = known.where((F.col(size) >= least) & F.col("key").isNotNull()).groupBy("sha256").agg(F.min("key").alias("low"))
-    return known.join(stored(low), "sha256", "left")  # stored, so that a skewed side of the join can be split
+    return known.join(stored(low, n).hint("merge"), "sha256", "left")  # stored, so that a skewed side of the join can be split
 
 
 def heads_of(known: DataFrame, *more: str) -> DataFrame:
-    """The texts to search: key, x and v, the text's number among those of its key (0 but for repeated keys)."""
-    order = Window.partitionBy("key").orderBy("x")
-    return known.where("key = low").select("key", "x", *more).distinct().withColumn("v", F.dense_rank().over(order) - 1)
-
-
-def same_text(left: DataFrame, right: DataFrame, how: str = "inner", by: str = "x") -> DataFrame:
-    """left joined with right by key and by x or v; only key deals the rows, so that texts dealt by key stay."""
-    right = right.withColumnsRenamed({"key": "_key", by: "_by"})
-    on = (left["key"] == right["_key"]) & (left[by].bitwiseXOR(right["_by"]) == 0)
-    return left.join(right, on, how).drop("_key", "_by")
+    """The texts to search: key and x, once each."""
+    return known.where("key = low").select("key", "x", *more).distinct()
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = GRAM, kinds: int = KINDS) -> DataFrame:
@@ -182,23 +177,24 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     lean(spark)
     docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("text"))
     prints = stored(fingerprints(docs, length, k))
-    known = stored(firsts(prints.drop("anchors"), "n_bytes", length), prints.count())
+    about = prints.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("size")).first()
+    known = stored(firsts(prints.drop("anchors"), "n_bytes", length, about.n), about.n)
     postings = prints.where("key is not null").select(F.explode("anchors").alias("anchor"), "key", "x")
     # Met in different texts; copies of one text have one hash.
     shared = stored(postings.groupBy("anchor").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a < b").select("anchor"))
-    met = postings.select("anchor", "key").join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("shared"))
-    wanted = heads_of(known, "repeats").join(met, "key", "left").where("repeats or shared is not null").drop("repeats")
-    texts = bucketed(same_text(docs, wanted).select("key", "x", "v", "text", "shared"), "key")
+    met = postings.join(shared.hint("merge"), "anchor").groupBy("key", "x").agg(F.collect_list("anchor").alias("shared"))
+    wanted = heads_of(known, "repeats").join(met.hint("merge"), ["key", "x"], "left").where("repeats or shared is not null").drop("repeats")
+    texts = bucketed(docs.join(wanted.hint("merge"), ["key", "x"]).select("key", "x", "text", "shared"), ["key", "x"], buckets(spark, about.size or 0))
 
     def cut(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         from libretto.llm import grams
 
-        names = ["mini", "c", "key", "v", "start", "n", "again"]
-        for batch in batches(frame, "text"):
+        names = ["mini", "c", "key", "x", "start", "n", "again"]
+        for batch in batches(unrepeated(frame, ["key", "x"]), "text"):
             out = []
-            for text, shared, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            for text, shared, key, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("shared"), batch.column("key").to_pylist(), batch.column("x").to_pylist(), strict=True):
                 mini, start, n = pieces_of(text, shared.values.to_numpy() if shared.is_valid else [], length, k)
                 if not len(mini):
                     continue
@@ -207,56 +203,56 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", length:
                 order = np.lexsort((start, c, mini))
                 same = np.zeros(len(mini), dtype=bool)
                 same[order[1:]] = (c[order[1:]] == c[order[:-1]]) & (mini[order[1:]] == mini[order[:-1]])
-                out.append((mini, c, np.full(len(mini), key), np.full(len(mini), v, dtype=np.int32), start.astype(np.int32), n.astype(np.int32), same))
+                out.append((mini, c, np.full(len(mini), key), np.full(len(mini), x), start.astype(np.int32), n.astype(np.int32), same))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=names)
 
-    # A piece is known by two independent hashes: that of its minimiser and that of all of it.
-    pieces = stored(texts.select("key", "v", "text", "shared").mapInArrow(cut, "mini long, c long, key long, v int, start int, n int, again boolean"))
-    low = stored(pieces.where("not again").groupBy("mini", "c").agg(F.min("key").alias("low")))
-    several = stored(low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1"))
-    low = low.join(several, "mini", "left")
+    # A piece is known by its minimiser and by a hash of all of its bytes; repeated pieces are aggregated before they are shuffled.
+    pieces = stored(texts.mapInArrow(cut, "mini long, c long, key long, x long, start int, n int, again boolean"))
+    n = pieces.count()
+    low = stored(pieces.where("not again").groupBy("mini", "c").agg(F.min("key").alias("low")), n)
+    several = stored(low.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds > 1"), n)
+    low = low.join(several.hint("merge"), "mini", "left")
     gone = F.col("again") | (F.col("key") > F.col("low"))
     open_ = ~gone & F.col("kinds").isNotNull()
-    placed = stored(pieces.join(low, ["mini", "c"]).where(gone | open_).select("key", "v", "start", "n", F.when(~gone, F.col("mini")).alias("mini"), F.when(~gone, F.col("kinds")).alias("kinds")))
+    placed = stored(pieces.join(low.hint("merge"), ["mini", "c"]).where(gone | open_).select("key", "x", "start", "n", F.when(~gone, F.col("mini")).alias("mini"), F.when(~gone, F.col("kinds")).alias("kinds")), n)
     total = placed.where("kinds is not null").agg(F.sum(F.col("n") + length)).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     chunks = F.ceil(F.col("kinds") / F.lit(kinds)).cast("int")
     shard = F.when(chunks > 1, F.xxhash64("mini")).otherwise(F.pmod(F.xxhash64("mini"), F.lit(shards)))
-    lists = placed.where("kinds is not null").groupBy("key", "v").agg(F.collect_list(F.struct("start", "n", shard.alias("shard"), chunks.alias("chunks"))).alias("pieces"))
+    lists = placed.where("kinds is not null").groupBy("key", "x").agg(F.collect_list(F.struct("start", "n", shard.alias("shard"), chunks.alias("chunks"))).alias("pieces"))
 
     def fetch(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds_ = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-        names = ["shard", "chunks", "key", "v", "start", "n", "piece"]
-        for batch in batches(frame, "text", 1 << 20):
+        kinds_ = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        names = ["shard", "chunks", "key", "x", "start", "n", "piece"]
+        for batch in batches(unrepeated(frame, ["key", "x"]), "text", 1 << 20):
             out = []
-            for text, ps, key, v in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("pieces").to_pylist(), batch.column("key").to_pylist(), batch.column("v").to_pylist(), strict=True):
-                out += [(p["shard"], p["chunks"], key, v, p["start"], p["n"], text[p["start"] : p["start"] + p["n"] + length - 1]) for p in ps]
+            for text, ps, key, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("pieces").to_pylist(), batch.column("key").to_pylist(), batch.column("x").to_pylist(), strict=True):
+                out += [(p["shard"], p["chunks"], key, x, p["start"], p["n"], text[p["start"] : p["start"] + p["n"] + length - 1]) for p in ps]
             for at in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[at : at + 20_000], strict=True), kinds_, strict=True)], names=names)
 
-    cut_out = same_text(texts.select("key", "v", "text"), lists, by="v").mapInArrow(fetch, "shard long, chunks int, key long, v int, start int, n int, piece binary")
-    own = F.pmod(F.xxhash64("key", "v", "start"), F.col("chunks")).cast("int")
+    cut_out = texts.drop("shared").join(lists.hint("merge"), ["key", "x"]).mapInArrow(fetch, "shard long, chunks int, key long, x long, start int, n int, piece binary")
+    own = F.pmod(F.xxhash64("key", "x", "start"), F.col("chunks")).cast("int")
     rows = cut_out.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).drop("other")
-    dealt = rows.repartition(min(4096, max(shards, partitions(spark))), "shard", "chunks", "a", "b").sortWithinPartitions("shard", "chunks", "a", "b")
+    dealt = rows.repartition(max(-(-total // TASK_BYTES), partitions(spark)), "shard", "chunks", "a", "b").sortWithinPartitions("shard", "chunks", "a", "b")
 
     def search(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped(frame, ["shard", "chunks", "a", "b"]):
             found = later(t, length, t["a"][0].as_py(), t["b"][0].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(found, (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["key", "v", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(found, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["key", "x", "start", "n"])
 
-    found = dealt.mapInArrow(search, "key long, v int, start int, n int")
-    spans = placed.where("kinds is null").select("key", "v", "start", "n").unionByName(found)
-    spans = spans.groupBy("key", "v").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    changed = keep_rest(same_text(texts.select("key", "x", "v", "text"), spans, by="v"), length)
+    found = dealt.mapInArrow(search, "key long, x long, start int, n int")
+    spans = placed.where("kinds is null").select("key", "x", "start", "n").unionByName(found)
+    spans = spans.groupBy("key", "x").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    changed = keep_rest(texts.drop("shared").join(spans.hint("merge"), ["key", "x"]), length)
     return whole(known.drop("repeats"), changed, "n_bytes", key)
 
 
 def whole(known: DataFrame, changed: DataFrame, size: str, key: str) -> DataFrame:
     """Every row's result: as changed says, nothing left of later copies, all of the others."""
-    done = changed.dropDuplicates(["key", "x"])
-    out = same_text(known, done, "left")
+    out = known.join(changed.hint("merge"), ["key", "x"], "left")
     copy = F.coalesce(F.col("key") > F.col("low"), F.lit(False))
     every = F.array(F.struct(F.lit(0).alias("start"), F.col(size).cast("int").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -267,10 +263,10 @@ def whole(known: DataFrame, changed: DataFrame, size: str, key: str) -> DataFram
 
 
 def later(t: pa.Table, length: int, a: int, b: int):
-    """Runs of strings (key, v, start, windows) that start earlier in another row of the unit, or of the other chunk."""
+    """Runs of strings (key, x, start, windows) that start earlier in another row of the unit, or of the other chunk."""
     import numpy as np
 
-    key, v, start, n, own = (t[c].to_numpy() for c in ("key", "v", "start", "n", "own"))
+    key, x, start, n, own = (t[c].to_numpy() for c in ("key", "x", "start", "n", "own"))
     side = [np.flatnonzero(own == c) for c in ((a,) if a == b else (a, b))]
     sorted_ = [classes(t["piece"].take(pa.array(ix)), n[ix], length) for ix in side]
     if a == b:
@@ -283,9 +279,9 @@ def later(t: pa.Table, length: int, a: int, b: int):
         to = np.where(fits, slot, len(s1) + np.arange(len(s2)))
         row, place, group = np.concatenate([side[0][row1], side[1][row2]]), np.concatenate([at1, at2]), np.concatenate([g1, to[g2]])
     at = start[row] + place
-    order = np.lexsort((at, v[row], key[row], group))
+    order = np.lexsort((at, x[row], key[row], group))
     row, place, group, at = row[order], place[order], group[order], at[order]
-    k, h = key[row], v[row]
+    k, h = key[row], x[row]
     if not len(row):
         return (np.empty(0, dtype=np.int64),) * 4
     fresh = np.concatenate([[True], group[1:] != group[:-1]])
@@ -298,7 +294,7 @@ def later(t: pa.Table, length: int, a: int, b: int):
     if not len(row):
         return (np.empty(0, dtype=np.int64),) * 4
     new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)]))
-    return key[row[new]], v[row[new]], start[row[new]] + place[new], np.diff(np.append(new, len(row)))
+    return key[row[new]], x[row[new]], start[row[new]] + place[new], np.diff(np.append(new, len(row)))
 
 
 def classes(pieces, n, length: int):
@@ -329,7 +325,7 @@ def keep_rest(df: DataFrame, length: int) -> DataFrame:
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches(frame, "text"):
+        for batch in batches(unrepeated(frame, ["key", "x"]), "text"):
             spans, kept, texts = [], [], []
             for text, runs in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs"), strict=True):
                 start, n = (runs.values.field(i).to_numpy() for i in (0, 1))

@@ -68,9 +68,10 @@ def test_substring_runs_are_compacted(spark, frame, rows):
     index = substrings.SubstringIndex(spark, length=6, k=3, most_runs=2)
     rows = [r for r in rows if r[0] is not None]
     got = []
-    for at in range(0, len(rows), 15):
-        got += got_words(index.add(frame(rows[at : at + 15])))
-    assert len(index.runs) <= 2 and index.written > 4
+    for at in range(0, len(rows), 24):
+        got += got_words(index.add(frame(rows[at : at + 24])))
+        index = substrings.SubstringIndex.open(spark, index.folder)  # as another session would go on
+    assert len(index.runs) <= 2 and len(index.texts) == 3 and index.version > 3
     assert sorted(got, key=repr) == sorted(((i, n, g, k if g else None) for i, n, g, k in brute_words(rows, 6)), key=repr)
 
 
@@ -144,6 +145,11 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8**5) ** b >= 0.9999 > 1 - (1 - 0.8**5) ** (b - 1)
 
 
+def test_many_texts_of_one_id(frame, rows):
+    rows = [(7 if i is not None and i % 3 else i, t) for i, t in rows]
+    assert got_words(substrings.deduplicated(frame(rows), 2, length=6, k=3)) == sorted(((i, n, g, k if g else None) for i, n, g, k in brute_words(rows, 6)), key=repr)
+
+
 def test_empty_tables(spark, frame):
     for run in (substrings.deduplicated, suffixes.deduplicated, jaccard.linked):
         assert run(frame([])).count() == 0
