@@ -62,8 +62,8 @@ BUCKET_BYTES = 32 << 20
 
 
 def buckets(spark: SparkSession, size: int) -> int:
-    """Buckets for so many bytes of text: at least one for each core."""
-    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    """Buckets for so many bytes of text; with fewer than shuffles have partitions, joins would deal them anew."""
+    return max(partitions(spark), -(-size // BUCKET_BYTES))
 
 
 def unrepeated(frame: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
