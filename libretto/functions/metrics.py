@@ -93,12 +93,14 @@ def missing_ends(steps: list[tuple[str, object, object]]) -> tuple[int, int]:
 
 
 def repetitions(words: Sequence[str], most: int = 3) -> Counter:
-    """How often each n-gram of up to `most` words follows itself at once."""
+    """How often each n-gram of up to `most` words follows itself at once: where the text equals itself n words on, n times in a row."""
     found: Counter = Counter()
     for n in range(1, most + 1):
-        for i in range(len(words) - 2 * n + 1):
-            if words[i : i + n] == words[i + n : i + 2 * n]:
-                found[tuple(words[i : i + n])] += 1
+        run = 0  # words in a row that stand again n words on
+        for end, (here, there) in enumerate(zip(words, words[n:], strict=False), 1):
+            run = run + 1 if here == there else 0
+            if run >= n:
+                found[tuple(words[end - n : end])] += 1
     return found
 
 

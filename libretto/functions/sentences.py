@@ -35,26 +35,36 @@ def sentences(text: Column, at_colons: bool = False) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
-def limited(sentence: str, limit: int) -> list[str]:
-    """Parts of at most `limit` characters, cut at strong punctuation or else at the last space; ValueError if neither is there.
+#: A sign that may end a part, with the blanks behind it; a comma binds more than the others.
+_SIGN = re.compile(r"([;,:])(?:\s+|$)")
+
+
+def cut_at(text: str, limit: int) -> int:
+    """Where a text longer than limit is cut: behind a sign and its blanks, else at the last blank; ValueError if neither is there.
 
-    Where one cut leaves two parts of at least a quarter of the limit and at most the limit, the
-    strongest sign wins (; and : before ,), then the one nearest the middle; else the last sign.
+    A sign counts if it stands, blanks included, within the limit. Where one cut leaves two parts of
+    at least a quarter of the limit, the second within the limit too, the strongest sign wins (; and
+    : before ,), then the one nearest the middle; else the last sign.
     """
+    signs = [(m.end(), m[1] == ",") for m in _SIGN.finditer(text, 0, limit + 1) if m.end() <= limit]
+    least = max(1, limit // 4)
+    halves = [(weak, abs(2 * end - len(text)), end) for end, weak in signs if end >= least and least <= len(text) - end <= limit]
+    if halves:
+        return min(halves)[2]
+    if signs:
+        return signs[-1][0]
+    if (at := text.rfind(" ", 0, limit + 1)) > 0:
+        return at
+    raise ValueError(f"cannot split within {limit} characters: {text[:40]}")
+
+
+def limited(sentence: str, limit: int) -> list[str]:
+    """Parts of at most `limit` characters, by cut_at."""
     if limit < 1:
         raise ValueError("the limit must be positive")
     out, rest = [], sentence.strip()
     while len(rest) > limit:
-        signs = [(m.start() + 1, 1 if m[0] == "," else 2) for m in re.finditer(r"[;,:](?=\s|$)", rest) if m.start() + 1 <= limit]
-        whole = [(at, strength) for at, strength in signs if min(at, len(rest[at:].strip())) >= limit // 4 and len(rest[at:].strip()) <= limit]
-        if whole:
-            at = min(whole, key=lambda c: (-c[1], abs(c[0] - len(rest) / 2)))[0]
-        elif signs:
-            at = signs[-1][0]
-        else:
-            at = rest.rfind(" ", 0, limit + 1)
-            if at <= 0:
-                raise ValueError(f"cannot split within {limit} characters: {rest[:40]}")
+        at = cut_at(rest, limit)
         out.append(rest[:at].strip())
         rest = rest[at:].strip()
     return [*out, rest] if rest else out

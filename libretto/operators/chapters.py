@@ -8,31 +8,44 @@ from pyspark.sql import functions as F
 from libretto.functions.text import is_references, preview
 
 
-def segmented(rows: DataFrame, book: str = "book_id", pos: str = "pos", level: str = "level", text: str = "text", at: int = 1, front: str = "Front matter") -> DataFrame:
+def segmented(rows: DataFrame, book: str = "book_id", pos: str = "pos", level: str = "level", text: str = "text", at: int = 1, front: str = "Front matter", fallback: str | None = None) -> DataFrame:
     """Rows (one a block; level is null for all but headings) with chapter_no, chapter_title, block_no and excluded.
 
-    A heading at level `at` starts a chapter. A higher one (smaller level) closes the chapter and
-    stands first in the next. A bibliography's heading suppresses what follows up to the next heading
-    of that level or above. What stands before the first chapter heading is front matter.
+    Every heading at level `at` or above it (smaller level) closes what stands before it.
+    * One at level `at` opens a chapter of its title.
+    * A higher one waits: it stands first in the chapter that the next heading at level `at` opens,
+      last in the book's last chapter if none follows, and is dropped if a bibliography follows
+      first. Blocks right behind it are a chapter of their own under the title before it.
+    * A bibliography's heading excludes what follows up to the next heading of either kind.
+    Without a chapter heading before it a closed chapter is `front`; the book's last one then has the
+    title of the last waiting heading, or else `fallback` (`front` if not given). Dropped headings
+    come back excluded, without a chapter. block_no counts the kept blocks in their new order.
     """
     order = Window.partitionBy(book).orderBy(pos)
     ran = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    later = order.rowsBetween(1, Window.unboundedFollowing)
+    whole = Window.partitionBy(book)
     lvl = F.col(level)
-    chapter, higher = lvl == at, lvl < at
-    refs = chapter & is_references(F.col(text))
-    r = rows.withColumn("_kind", F.when(refs, "refs").when(chapter, "chapter").when(higher, "higher"))
-    r = r.withColumn("_last", F.last("_kind", True).over(ran))
-    r = r.withColumn("excluded", F.coalesce(F.col("_last") == "refs", F.lit(False)))
-    r = r.withColumn("_next", F.first(F.when(F.col("_kind") == "chapter", F.struct(pos, text)), True).over(ahead))
-    r = r.withColumn("_own", F.last(F.when(F.col("_kind") == "chapter", F.struct(pos, text)), True).over(ran))
-    held = F.col("_last") == "higher"  # waits for the next chapter, if one follows
-    home = F.when(held & F.col("_next").isNotNull(), F.col("_next")).otherwise(F.col("_own"))
+    opens, higher = lvl == at, lvl < at
+    r = rows.withColumn("_kind", F.when(opens & is_references(F.col(text)), "refs").when(opens, "chapter").when(higher, "higher"))
+    mark = F.struct(F.col(pos).alias("at"), F.col("_kind").alias("kind"), F.col(text).alias("title"))
+    only = lambda *kinds: F.when(F.col("_kind").isin(*kinds), mark)
+    r = r.withColumn("_cut", F.last(only("refs", "chapter", "higher"), True).over(ran)).withColumn("_title", F.last(only("chapter"), True).over(ran)["title"])
+    r = r.withColumn("_next", F.first(only("refs", "chapter"), True).over(later)).withColumn("_end", F.max(F.when(F.col("_kind").isNotNull(), F.col(pos))).over(whole))
+    r = r.withColumn("_any", F.last(only("chapter"), True).over(whole.orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))["title"])
+    waits = F.col("_kind") == "higher"
+    r = r.withColumn("_open", F.coalesce(waits, F.lit(False)) & F.col("_next").isNull())  # goes to the last chapter
+    r = r.withColumn("_last", F.max(F.when(F.col("_open"), F.struct(F.col(pos).alias("at"), F.col(text).alias("title")))).over(whole)["title"])
+    lost = F.when(waits, F.coalesce(F.col("_next.kind") == "refs", F.lit(False))).otherwise(F.coalesce(F.col("_cut.kind") == "refs", F.lit(False)))
+    r = r.withColumn("excluded", F.coalesce(lost, F.lit(False)))
+    home = F.when(F.col("_open"), F.col("_end")).when(waits, F.col("_next.at")).otherwise(F.col("_cut.at"))
     r = r.withColumn("_home", home)
-    title = F.coalesce(F.col(f"_home.{text}"), F.lit(front))
-    kept = r.where("not excluded").withColumn("chapter_title", title).withColumn("_c", F.coalesce(F.col(f"_home.{pos}"), F.lit(-1)))
-    kept = kept.withColumn("chapter_no", F.dense_rank().over(Window.partitionBy(book).orderBy("_c")) - 1)
-    kept = kept.withColumn("block_no", F.row_number().over(Window.partitionBy(book).orderBy("_c", pos)))
+    ends = F.col("_home").eqNullSafe(F.col("_end"))
+    last = F.coalesce("_any", "_last", F.lit(fallback or front))
+    title = F.when(F.col("_open") | ends & F.col("_any").isNull(), last).when(waits, F.col("_next.title")).otherwise(F.coalesce("_title", F.lit(front)))
+    kept = r.where("not excluded").withColumn("chapter_title", title)
+    kept = kept.withColumn("chapter_no", F.dense_rank().over(Window.partitionBy(book).orderBy(F.asc_nulls_first("_home"))) - 1)
+    kept = kept.withColumn("block_no", F.row_number().over(Window.partitionBy(book).orderBy("chapter_no", F.col("_open").cast("int"), pos)))
     gone = r.where("excluded").withColumns({"chapter_title": F.lit(None).cast("string"), "chapter_no": F.lit(None).cast("int"), "block_no": F.lit(None).cast("int")})
     names = [*rows.columns, "excluded", "chapter_no", "chapter_title", "block_no"]
     return kept.select(names).unionByName(gone.select(names))

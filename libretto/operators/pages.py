@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from libretto.functions.text import letters_of
+
 
 def page_class(text: Column, images: Column, drawings: Column, many: int = 20) -> Column:
     """text, scanned (no text but images or many drawings) or blank."""
@@ -31,7 +33,7 @@ NAMES = {"figure": "figura", "table": "tabella", "equation": "equazione", "chapt
 
 
 def reference_index(books: DataFrame, book: str = "book_id", text: str = "text") -> DataFrame:
-    """(book, label, target): what each \\label names, e.g. `figura 2.1`; numbers restart in each chapter, appendices have letters."""
+    """(book, label, target, pos): what each \\label names, e.g. `figura 2.1`; numbers restart in each chapter, appendices have letters."""
     tokens = books.select(book, F.posexplode(F.regexp_extract_all(text, F.lit(r"(\\chapter\*?\{[^{}]*\}|\\section\*?\{[^{}]*\}|\\subsection\*?\{[^{}]*\}|\\label\{[^{}]+\}|\\appendix\b|\\begin\{(?:figure|table|equation)\})"), F.lit(1))).alias("pos", "t"))
     kind = F.regexp_extract("t", r"^\\(chapter|section|subsection|label|appendix)", 1)
     kind = F.when(kind == "", F.regexp_extract("t", r"\\begin\{(\w+)\}", 1)).otherwise(kind)
@@ -45,7 +47,7 @@ def reference_index(books: DataFrame, book: str = "book_id", text: str = "text")
     r = r.withColumn("_u", count("subsection", Window.partitionBy(book, "_back", "_c", "_s").orderBy("pos")))
     for k in ("figure", "table", "equation"):
         r = r.withColumn(f"_{k}", count(k, inside))
-    letter = F.char(F.lit(64) + F.col("_c"))
+    letter = letters_of(F.col("_c"))
     chapter = F.when(F.col("_back") == 1, letter).otherwise(F.col("_c").cast("string"))
     named = lambda k, *n: F.concat_ws(" ", F.lit(NAMES[k]), F.concat_ws(".", *n))
     home = F.when(F.col("_c") == 0, None).when(F.col("_back") == 1, named("appendix", chapter)).otherwise(named("chapter", chapter))
@@ -62,12 +64,13 @@ def reference_index(books: DataFrame, book: str = "book_id", text: str = "text")
     heads = ("chapter", "section", "subsection", "figure", "table", "equation")
     marks = F.struct(target.alias("x"))
     r = r.withColumn("target", F.last(F.when(F.col("kind").isin(*heads), marks), True).over(order)["x"])
-    return r.where("label <> ''").select(book, "label", "target")
+    return r.where("label <> ''").select(book, "label", "target", "pos")
 
 
 def resolved(books: DataFrame, index: DataFrame, book: str = "book_id", text: str = "text") -> DataFrame:
     """books with \\ref, \\autoref and \\appref put into words, and the labels that nothing names (column unresolved)."""
-    known = index.where("target is not null").groupBy(book).agg(F.map_from_entries(F.collect_list(F.struct("label", "target"))).alias("_m"))
+    once = index.where("target is not null").groupBy(book, "label").agg(F.max_by("target", "pos").alias("target"))  # a repeated label: the last one
+    known = once.groupBy(book).agg(F.map_from_entries(F.collect_list(F.struct("label", "target"))).alias("_m"))
     pattern = r"\\((?:auto|app)?ref)\{([^{}]+)\}"
     out = books.join(known, book, "left").withColumn("_m", F.coalesce("_m", F.create_map().cast("map<string,string>")))
     between = F.split(text, r"\\(?:auto|app)?ref\{[^{}]+\}", -1)

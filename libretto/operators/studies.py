@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,35 +22,37 @@ def paired(samples: DataFrame, base: str, variant: str, passes: int = 4) -> Data
     return out.where("base_s is not null and variant_s is not null").select("session_id", "base_s", "variant_s", (1 - F.col("variant_s") / F.col("base_s")).alias("reduction"), (1 - F.col("_vr") / F.col("_br")).alias("rtf_reduction"))
 
 
-@lru_cache(maxsize=64)
-def _draws(n: int, resamples: int, seed: int):
-    """Indices of the resamples of n values; the same for every group of that size."""
-    import numpy as np
-
-    draw = random.Random(seed)
-    return np.array([[draw.randrange(n) for _ in range(n)] for _ in range(resamples)])
-
+def median_interval(values: Sequence[float], resamples: int = 10_000, seed: int = 0, block: int = 1 << 20) -> tuple[float, float] | None:
+    """Percentile bootstrap of the median, 95 %, of values in their given order; None for fewer than two.
 
-def median_interval(values: Sequence[float], resamples: int = 10_000, seed: int = 0) -> tuple[float, float] | None:
-    """Percentile bootstrap of the median, 95 %; None for fewer than two values."""
+    The draws are those of Python's seeded generator, value after value and resample after resample,
+    taken in blocks so that memory is bounded.
+    """
     import numpy as np
 
-    if len(values) < 2:
+    n, given = len(values), np.asarray(values, dtype=np.float64)
+    if n < 2:
         return None
-    medians = np.sort(np.median(np.asarray(values, dtype=np.float64)[_draws(len(values), resamples, seed)], axis=1))
-    return float(medians[round(0.025 * (resamples - 1))]), float(medians[round(0.975 * (resamples - 1))])
-
-
-def median_intervals(df: DataFrame, by: str, value: str, resamples: int = 10_000) -> DataFrame:
-    """A row a group: n, median and its bootstrap interval. A group is a study's few values."""
+    draw, medians = random.Random(seed).random, []
+    each = max(1, block // n)
+    for at in range(0, resamples, each):
+        rows = min(each, resamples - at)
+        picks = np.fromiter((draw() for _ in range(rows * n)), dtype=np.float64, count=rows * n)
+        medians.append(np.median(given[(picks * n).astype(np.int64)].reshape(rows, n), axis=1))
+    ranked = np.sort(np.concatenate(medians))
+    return tuple(float(ranked[round(q * (resamples - 1))]) for q in (0.025, 0.975))
+
+
+def median_intervals(df: DataFrame, by: str, value: str, order: str, resamples: int = 10_000) -> DataFrame:
+    """A row a group: n, median and its bootstrap interval; values are drawn in rising `order`. A group is a study's few values."""
     import pandas as pd
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = sorted(frame[value].dropna())
+        found = frame.sort_values(order, kind="stable")[value].dropna().tolist()
         low, high = median_interval(found, resamples) or (None, None)
         return pd.DataFrame({by: [frame[by].iloc[0]], "n": [len(found)], "median": [float(pd.Series(found).median()) if found else None], "low": [low], "high": [high]})
 
-    return df.select(by, value).groupBy(by).applyInPandas(run, f"{by} {dict(df.dtypes)[by]}, n long, median double, low double, high double")
+    return df.select(by, value, order).groupBy(by).applyInPandas(run, f"{by} {dict(df.dtypes)[by]}, n long, median double, low double, high double")
 
 
 def worst(df: DataFrame, k: int = 5, wer: str = "wer", cer: str = "cer", key: str = "excerpt_id") -> DataFrame:

@@ -248,12 +248,18 @@ def _headed(spark, sf):
 
 @query("""WITH r AS (SELECT conv_id AS book_id, turn AS pos, CASE WHEN role = 'system' THEN 0 WHEN role = 'user' AND turn % 4 = 2 THEN 1 END AS level, CASE WHEN turn = 6 THEN 'References' ELSE left(text, 40) END AS text FROM conversations),
 k AS (SELECT *, CASE WHEN level = 1 AND lower(text) = 'references' THEN 'refs' WHEN level = 1 THEN 'chapter' WHEN level < 1 THEN 'higher' END AS kind FROM r),
-a AS (SELECT *, last_value(kind IGNORE NULLS) OVER w AS last, last_value(CASE WHEN kind = 'chapter' THEN pos END IGNORE NULLS) OVER w AS own,
-    first_value(CASE WHEN kind = 'chapter' THEN pos END IGNORE NULLS) OVER (PARTITION BY book_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next FROM k WINDOW w AS (PARTITION BY book_id ORDER BY pos)),
-h AS (SELECT *, CASE WHEN last = 'higher' AND next IS NOT NULL THEN next ELSE own END AS home, coalesce(last = 'refs', false) AS excluded FROM a),
-t AS (SELECT h.*, coalesce(k.text, 'Front matter') AS title FROM h LEFT JOIN k ON k.book_id = h.book_id AND k.pos = h.home)
-SELECT book_id, pos, false AS excluded, (dense_rank() OVER (PARTITION BY book_id ORDER BY coalesce(home, -1)) - 1)::INT AS chapter_no, title AS chapter_title, row_number() OVER (PARTITION BY book_id ORDER BY coalesce(home, -1), pos)::INT AS block_no FROM t WHERE NOT excluded
-UNION ALL SELECT book_id, pos, true, NULL, NULL, NULL FROM t WHERE excluded""")
+e AS (SELECT a.book_id, a.pos, max(b.pos) FILTER (b.kind IS NOT NULL AND b.pos <= a.pos) AS cut, max(b.pos) FILTER (b.kind = 'chapter' AND b.pos <= a.pos) AS own,
+    min(b.pos) FILTER (b.kind IN ('refs', 'chapter') AND b.pos > a.pos) AS next, max(b.pos) FILTER (b.kind IS NOT NULL) AS final, max(b.pos) FILTER (b.kind = 'chapter') AS seen
+    FROM k a JOIN k b USING (book_id) GROUP BY ALL),
+f AS (SELECT k.*, e.* EXCLUDE (book_id, pos), c.kind AS cut_kind, n.kind AS next_kind, n.text AS next_title, o.text AS own_title, s.text AS seen_title, coalesce(k.kind = 'higher' AND e.next IS NULL, false) AS waits
+    FROM k JOIN e USING (book_id, pos) LEFT JOIN k c ON c.book_id = k.book_id AND c.pos = e.cut LEFT JOIN k n ON n.book_id = k.book_id AND n.pos = e.next
+    LEFT JOIN k o ON o.book_id = k.book_id AND o.pos = e.own LEFT JOIN k s ON s.book_id = k.book_id AND s.pos = e.seen),
+g AS (SELECT *, CASE WHEN kind = 'higher' THEN coalesce(next_kind = 'refs', false) ELSE coalesce(cut_kind = 'refs', false) END AS excluded,
+    CASE WHEN waits THEN final WHEN kind = 'higher' THEN next ELSE cut END AS home, (SELECT arg_max(x.text, x.pos) FROM f x WHERE x.book_id = f.book_id AND x.waits) AS last_title FROM f)
+SELECT book_id, pos, false AS excluded, (dense_rank() OVER (PARTITION BY book_id ORDER BY coalesce(home, -1)) - 1)::INT AS chapter_no,
+    CASE WHEN waits OR (home IS NOT DISTINCT FROM final AND seen IS NULL) THEN coalesce(seen_title, last_title, 'Front matter') WHEN kind = 'higher' THEN next_title ELSE coalesce(own_title, 'Front matter') END AS chapter_title,
+    row_number() OVER (PARTITION BY book_id ORDER BY coalesce(home, -1), waits, pos)::INT AS block_no FROM g WHERE NOT excluded
+UNION ALL SELECT book_id, pos, true, NULL, NULL, NULL FROM g WHERE excluded""")
 def chapter_segmentation(spark, sf):
     return chapters.segmented(_headed(spark, sf)).select("book_id", "pos", "excluded", "chapter_no", "chapter_title", "block_no")
 
@@ -485,7 +491,7 @@ def ab_summary(spark, sf):
 
 @query()
 def bootstrap_ci(spark, sf):
-    return studies.median_intervals(table(spark, sf, "events", "user_id", "value"), "user_id", "value")  # a user's events are few
+    return studies.median_intervals(table(spark, sf, "events", "user_id", "value", "event_id"), "user_id", "value", "event_id")  # a user's events are few
 
 
 @query("""SELECT excerpt_id, candidate, position, excerpt_id || '-' || chr((96 + position)::INT) AS clip_id FROM (SELECT item_id AS excerpt_id, c AS candidate, row_number() OVER (PARTITION BY item_id ORDER BY md5('0:' || item_id || ':' || c))::INT AS position FROM benchmark, (VALUES ('fast'), ('fine'), ('turbo')) v(c))""")

@@ -1,5 +1,8 @@
 """Chunks, timelines, structure, states, lineage and studies on small cases."""
 
+import random
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,9 +12,9 @@ from libretto.sources.ast import block_rows
 from libretto.streaming import resume
 
 BLOCKS = [
-    ("b", "chapter-0001", 0, "block-1", 0, "Prima frase. Seconda frase molto lunga."),
-    ("b", "chapter-0001", 0, "block-2", 1, "Altro."),
-    ("b", "chapter-0002", 1, "block-3", 2, "Fine qui."),
+    ("b", "chapter-0001", 0, "block-1", 0, "Vento freddo. La notte scende su di noi."),
+    ("b", "chapter-0001", 0, "block-2", 1, "Tacque."),
+    ("b", "chapter-0002", 1, "block-3", 2, "Ora alba."),
 ]
 
 
@@ -29,15 +32,16 @@ def test_chunks(spark, blocks):
     assert r.content_sha256 == artifacts.digest({"chapter_id": r.chapter_id, "expected_language": "it", "paragraph_id": r.paragraph_id, "sentence_id": r.sentence_id, "spoken_text": r.spoken_text})
     packed = chunks.chunked(blocks, 40, pack=True).orderBy("sequence").collect()
     assert [r.chunk_id for r in packed] == ["block-1.s0000-s0001.p0000", "block-2.s0000.p0000", "block-3.s0000.p0000"]
-    assert packed[0].display_text == "Prima frase. Seconda frase molto lunga."
+    assert packed[0].display_text == "Vento freddo. La notte scende su di noi."
     assert chunks.anomalies(chunks.chunked(blocks, 20), 20).count() == 0
     assert chunks.anomalies(chunks.chunked(blocks, 20), 5).count() == 5
 
 
 def test_clause_pause_behind_a_colon(spark):
-    df = spark.createDataFrame([("b", "c", 0, "k", 0, "Prima parte: seconda parte. Altra.", "Prima parte: seconda parte. Altra.")], "book_id string, chapter_id string, chapter_order int, block_id string, block_pos int, display_text string, spoken_text string")
+    t = "Un invito: vieni al porto. Ora."
+    df = spark.createDataFrame([("b", "c", 0, "k", 0, t, t)], "book_id string, chapter_id string, chapter_order int, block_id string, block_pos int, display_text string, spoken_text string")
     got = chunks.chunked(df, 60, at_colons=True).orderBy("sequence").collect()
-    assert [(r.spoken_text, r.pause.duration_ms) for r in got] == [("Prima parte:", 1500), ("seconda parte.", 150), ("Altra.", 250)]
+    assert [(r.spoken_text, r.pause.duration_ms) for r in got] == [("Un invito:", 1500), ("vieni al porto.", 150), ("Ora.", 250)]
 
 
 def test_timeline_and_markers(spark):
@@ -50,11 +54,69 @@ def test_timeline_and_markers(spark):
     assert spark.range(1).select(timeline.frames_of(F.lit(0.5), 1000).alias("x")).first().x == 0
 
 
+def brute_segments(rows, fallback):
+    """One book's rows (pos, level, text), walked in order: {pos: (chapter, title, block)}, None for the excluded."""
+    closed, own, waiting, title, seen, out = [], [], [], fallback, False, {}
+
+    def close(name):
+        if own:
+            closed.append((name, list(own)))
+            own.clear()
+
+    off = False
+    for pos, level, text in rows:
+        if level is not None and level < 1:
+            close(title if seen else "Front matter")
+            waiting.append((pos, text))
+            off = False
+        elif level == 1 and text == "Bibliografia":
+            close(title if seen else "Front matter")
+            out |= {p: None for p, _ in waiting} | {pos: None}
+            waiting, off = [], True
+        else:
+            if level == 1:
+                close(title if seen else "Front matter")
+                title, seen, off = text, True, False
+                own += [p for p, _ in waiting]
+                waiting = []
+            if off:
+                out[pos] = None
+            else:
+                own.append(pos)
+    own += [p for p, _ in waiting]
+    close(waiting[-1][1] if waiting and not seen else title)
+    block = 0
+    for n, (name, places) in enumerate(closed):
+        for p in places:
+            block += 1
+            out[p] = (n, name, block)
+    return out
+
+
 def test_segments(spark):
-    rows = [(0, None, "intro"), (1, 0, "Parte"), (2, 1, "Uno"), (3, None, "a"), (4, 1, "Bibliografia"), (5, None, "gone"), (6, 1, "Due"), (7, None, "b")]
-    df = spark.createDataFrame([("k", *r) for r in rows], "book_id string, pos int, level int, text string")
-    got = [(r.pos, r.excluded, r.chapter_no, r.chapter_title) for r in chapters.segmented(df).orderBy("pos").collect()]
-    assert got == [(0, False, 0, "Front matter"), (1, False, 1, "Uno"), (2, False, 1, "Uno"), (3, False, 1, "Uno"), (4, True, None, None), (5, True, None, None), (6, False, 2, "Due"), (7, False, 2, "Due")]
+    rng = random.Random(8)
+    books = {"empty": []}
+    for b in range(60):
+        kinds = [rng.choice([None, None, None, 0, 1, 1, "refs"][: rng.choice([4, 6, 7])]) for _ in range(rng.randint(1, 12))]
+        books[f"b{b}"] = [(i, 1 if k == "refs" else k, "Bibliografia" if k == "refs" else f"t{i}") for i, k in enumerate(kinds)]
+    df = spark.createDataFrame([(b, *r) for b, rows in books.items() for r in rows], "book_id string, pos int, level int, text string")
+    got = {}
+    for r in chapters.segmented(df, fallback="Il libro").collect():
+        got.setdefault(r.book_id, {})[r.pos] = None if r.excluded else (r.chapter_no, r.chapter_title, r.block_no)
+    for b, rows in books.items():
+        assert got.get(b, {}) == brute_segments(rows, "Il libro"), rows
+
+
+def test_intervals_draw_as_the_seeded_generator_does(spark):
+    values = [5.0, 1.0, 9.0, 2.5]
+    rng = random.Random(0)
+    medians = sorted(statistics.median(rng.choices(values, k=4)) for _ in range(200))
+    want = (medians[round(0.025 * 199)], medians[round(0.975 * 199)])
+    assert studies.median_interval(values, 200) == studies.median_interval(values, 200, block=7) == want
+    assert studies.median_interval([1.0]) is None
+    df = spark.createDataFrame([("g", v, i) for i, v in enumerate(values)] + [("h", None, 0)], "g string, v double, i int")
+    got = {r.g: r for r in studies.median_intervals(df, "g", "v", "i", 200).collect()}
+    assert (got["g"].low, got["g"].high) == want and got["g"].median == 3.75 and got["h"].low is None
 
 
 def test_scope(spark):
@@ -66,7 +128,7 @@ def test_scope(spark):
 
 
 def test_classification(spark):
-    base = {"transcript": "testo valido", "wer": 0.0, "cer": 0.0, "missing_prefix_words": 0, "missing_suffix_words": 0, "repeated_ngram_count": 0, "silence_ratio": 0.0, "clipped_sample_ratio": 0.0, "speaking_rate_wpm": 140.0, "word_count": 12, "attempt_number": 0}
+    base = {"transcript": "un passo avanti", "wer": 0.0, "cer": 0.0, "missing_prefix_words": 0, "missing_suffix_words": 0, "repeated_ngram_count": 0, "silence_ratio": 0.0, "clipped_sample_ratio": 0.0, "speaking_rate_wpm": 131.0, "word_count": 25, "attempt_number": 0}
     cases = [({}, [], "accepted"), ({"missing_suffix_words": 2}, ["missing-suffix"], "retryable"), ({"missing_prefix_words": 2, "attempt_number": 1}, ["missing-prefix"], "review"), ({"silence_ratio": 0.99}, ["excessive-silence"], "retryable"), ({"speaking_rate_wpm": 400.0}, ["speaking-rate-high"], "retryable"), ({"speaking_rate_wpm": 48.0, "word_count": 1}, [], "accepted"), ({"wer": 0.8, "cer": 0.9}, ["wer-high", "cer-high"], "review"), ({"transcript": " "}, ["empty-transcript"], "retryable")]
     df = spark.createDataFrame([(i, *{**base, **u}.values()) for i, (u, _, _) in enumerate(cases)], ["i", *base])
     got = states.classified(df, retries=1).orderBy("i").collect()
