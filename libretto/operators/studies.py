@@ -33,12 +33,14 @@ def median_interval(values: Sequence[float], resamples: int = 10_000, seed: int
     n, given = len(values), np.asarray(values, dtype=np.float64)
     if n < 2:
         return None
-    draw, medians = random.Random(seed).random, []
+    *words, place = random.Random(seed).getstate()[1]
+    draw, medians = np.random.RandomState(), []
+    draw.set_state(("MT19937", words, place))  # numpy's twister gives the same fractions, many at a time
     each = max(1, block // n)
     for at in range(0, resamples, each):
         rows = min(each, resamples - at)
-        picks = np.fromiter((draw() for _ in range(rows * n)), dtype=np.float64, count=rows * n)
-        medians.append(np.median(given[(picks * n).astype(np.int64)].reshape(rows, n), axis=1))
+        picks = (draw.random_sample(rows * n) * n).astype(np.int64)
+        medians.append(np.median(given[picks].reshape(rows, n), axis=1))
     ranked = np.sort(np.concatenate(medians))
     return tuple(float(ranked[round(q * (resamples - 1))]) for q in (0.025, 0.975))
 
