@@ -63,7 +63,7 @@ def named(own) -> tuple[int, int]:
 
 
 def signed(df: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """Rows key, s1, s2 (hashes of the set; null if empty), n (its shingles), bands (hash of each band)."""
+    """Rows key, x (both as they come), s1, s2 (hashes of the set; null if empty), n (its shingles), bands (hash of each band)."""
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -96,15 +96,16 @@ def signed(df: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 ids.append(named(own))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, hashes)]).astype(np.int32)), pa.array(np.concatenate(hashes)))
             s = [pa.array(v, pa.int64()) for v in zip(*ids, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *s, pa.array(sizes, pa.int32()), lists], names=["key", "s1", "s2", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("x"), *s, pa.array(sizes, pa.int32()), lists], names=["key", "x", "s1", "s2", "n", "bands"])
 
-    return df.mapInArrow(run, "key long, s1 long, s2 long, n int, bands array<long>")
+    return df.mapInArrow(run, "key long, x long, s1 long, s2 long, n int, bands array<long>")
 
 
 def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
-    """Rows <key>, n_links (other documents linked directly), class_id (the smallest id reachable by links): one for each row of df."""
+    """One row for each row of df: <key>, n_links (other documents linked directly), class_id (the smallest id
+    reachable by links), x (hash of its text, which tells rows of one id apart)."""
     lean(df.sparkSession)
-    docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("x"), F.col(text).alias("text"))
     sets = stored(signed(docs, size, bands_for(similarity, rows, recall), rows))
     fine = sets.where("s1 is not null and key is not null")
     n = sets.count()
@@ -117,7 +118,7 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     met = stored(classes.join(group, classes["s1"] == group["node"]).select("s1", "s2", "rep", "members", "n", F.col("component").alias("part")), n)
     volume = met.groupBy("part").agg(F.ceil(F.sum("n") / F.lit(chunk)).cast("int").alias("chunks"))
     wanted = met.join(volume, "part").drop("n")
-    dealt = block_units(docs.join(wanted.hint("merge"), F.col("key") == F.col("rep")).drop("key"), "part", "chunks", ["s1", "s2"])
+    dealt = block_units(docs.drop("x").join(wanted.hint("merge"), F.col("key") == F.col("rep")).drop("key"), "part", "chunks", ["s1", "s2"])
 
     def verify(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -148,9 +149,9 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     about = found.groupBy("s1", "s2").agg(F.sum("links").alias("links"), F.min("low").alias("low"))
     known = classes.join(about, ["s1", "s2"], "left").join(joined, F.col("rep") == F.col("node"), "left")
     known = stored(known.select("s1", "s2", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("_n"), F.coalesce("component", "low", "rep").alias("_c")), n)
-    out = sets.select("key", "s1", "s2").join(known, ["s1", "s2"], "left")
+    out = sets.select("key", "x", "s1", "s2").join(known, ["s1", "s2"], "left")
     none = F.col("key").isNull()
-    return out.select(F.col("key").alias(key), F.when(none, 0).otherwise(F.coalesce("_n", F.lit(0))).cast("long").alias("n_links"), F.when(~none, F.coalesce("_c", "key")).alias("class_id"))
+    return out.select(F.col("key").alias(key), F.when(none, 0).otherwise(F.coalesce("_n", F.lit(0))).cast("long").alias("n_links"), F.when(~none, F.coalesce("_c", "key")).alias("class_id"), "x")
 
 
 def similar(flat, ends, a, b, similarity: float):

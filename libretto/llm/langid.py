@@ -362,7 +362,7 @@ def predicted(df: DataFrame, model: Model, text: str = "text", added: tuple[str,
     lean(df.sparkSession)
     span = StructType([StructField("lang", StringType()), StructField("first", IntegerType()), StructField("words", IntegerType())])
     keep = [c for c in df.columns if c not in added]
-    schema = df.select(keep).schema.add(added[0], StringType()).add(added[1], DoubleType()).add(added[2], ArrayType(span))
+    schema = StructType([f for f in df.schema.fields if f.name in keep]).add(added[0], StringType()).add(added[1], DoubleType()).add(added[2], ArrayType(span))
     shared = df.sparkSession.sparkContext.broadcast(model)  # CELLS weights at most, for all languages together
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,6 +33,8 @@ from libretto.llm.common import WORD, stored
 WEIGHTS, MOST, RANGE_ROWS, SEED = (1, 2, 3), 3, 1024, "mix-1"
 #: Patterns of at most this number are broadcast to the rows; more are joined by a shuffle.
 BROADCAST_PATTERNS = 10_000
+#: More patterns than this are refused, as the driver holds them all while it solves the flow.
+MOST_PATTERNS = 100_000
 
 
 def targets(sizes: Sequence[int], weights: Sequence[int], total: int, most: int = MOST) -> list[Fraction]:
@@ -106,12 +108,14 @@ def flow(patterns: Sequence[tuple[Sequence[int], int]], quotas: Sequence[int], m
 def mixed(df: DataFrame, sources: Column, size: Column, weights: Sequence[int] = WEIGHTS, most: int = MOST, key: str = "doc_id", seed: str = SEED, whole: bool = False) -> DataFrame:
     """Rows of df's <key>, _text_hash (of column text), sources, size and taken, with the sources' figures.
 
-    sources: array of source names of a row (its membership pattern); size: its words.
+    df must have a column text, whose hash tells rows of one key apart. sources: array of source names of a row (its membership pattern); size: its words.
     Adds source_size and target (those of the first source of the pattern).
     """
     rows = df.select(F.col(key), F.xxhash64("text").alias("_text_hash"), F.array_sort(F.array_distinct(sources)).alias("pattern"), size.cast("long").alias("size"))
     rows = stored(rows.withColumn("_order", F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":" + seed)))))
-    held = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # patterns, not documents
+    held = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_PATTERNS + 1).collect()  # patterns, not documents
+    if len(held) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} membership patterns: the flow is solved on the driver")
     held.sort(key=lambda r: [(s is None, s or "") for s in r.pattern])
     names = sorted({s for r in held for s in r.pattern}, key=lambda s: (s is None, s or ""))
     at = {s: i for i, s in enumerate(names)}
@@ -125,7 +129,7 @@ def mixed(df: DataFrame, sources: Column, size: Column, weights: Sequence[int] =
     if len(plan) <= BROADCAST_PATTERNS:
         plans = F.broadcast(plans)
     ranges = max(1, -(-sum(r.n for r in held) // RANGE_ROWS))
-    digits = min(4, max(1, len(f"{ranges - 1:x}")))
+    digits = len(f"{ranges - 1:x}")
     named = rows.withColumn("_k", F.to_json("pattern", {"ignoreNullFields": "false"}))
     looked = named.join(plans.select(F.to_json("pattern", {"ignoreNullFields": "false"}).alias("_k"), "_p", "_full", "_rest", "source_size", "target"), "_k").withColumn("_range", F.substring("_order", 1, digits))
     sums = looked.groupBy("_p", "_range").agg(F.sum("size").alias("_sum"))

@@ -56,7 +56,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("x")
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from libretto.llm.common import batches, lean
 
@@ -86,7 +86,7 @@ def encoded(df: DataFrame, model: str, text: str = "text", ids: str = "ids", dec
     """df with `ids` (array of int, without begin or end ids) and `decoded` (the library's decode of them)."""
     lean(df.sparkSession)
     keep = [c for c in df.columns if c not in (ids, decoded)]
-    schema = df.select(keep).schema.add(ids, ArrayType(IntegerType())).add(decoded, StringType())
+    schema = StructType([f for f in df.schema.fields if f.name in keep]).add(ids, ArrayType(IntegerType())).add(decoded, StringType())
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np

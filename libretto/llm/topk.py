@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,15 +63,16 @@ def topk(df: DataFrame, is_query: Column, k: int, scale: int = 256, key: str = "
     counts = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("q")).first()
     blocks, chunks = max(1, -(-counts.n // block)), max(1, -(-counts.q // chunk))
     pivots = pivots_of(rows, PIVOTS, SAMPLE)
+    rows = stored(rows.mapInArrow(lambda frame: tabled(frame, pivots), "id long, v array<long>, q boolean, d array<double>"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    base = rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("b"), F.lit(0).alias("side"), every(chunks).alias("c"))
-    asks = rows.where("q").select("id", "v", every(blocks).alias("b"), F.lit(1).alias("side"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(chunks)).cast("int").alias("c"))
+    base = rows.select("id", "v", "d", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("b"), F.lit(0).alias("side"), every(chunks).alias("c"))
+    asks = rows.where("q").select("id", "v", "d", every(blocks).alias("b"), F.lit(1).alias("side"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(chunks)).cast("int").alias("c"))
     units = max(1, min(blocks * chunks, 4 * partitions(spark)))
     dealt = base.unionByName(asks).repartition(units, "b", "c").sortWithinPartitions("b", "c", "side", "id")
 
     def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in grouped(frame, ["b", "c"]):
-            for found in best(unit, pivots, k):
+            for found in best(unit, k):
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in found], names=["query_id", "id", "score"])
 
     near = dealt.mapInArrow(run, "query_id long, id long, score long")
@@ -86,7 +88,26 @@ def saturated(scores):
     return np.array([min(max(int(s), -(2**63)), 2**63 - 1) for s in np.atleast_1d(scores)], dtype=np.int64)
 
 
-def best(unit: pa.Table, pivots: dict, k: int) -> Iterator[tuple]:
+def tabled(frame: Iterator[pa.RecordBatch], pivots: dict) -> Iterator[pa.RecordBatch]:
+    """The pivot table: each row with d, its distances to the pivots of its length."""
+    import numpy as np
+
+    for batch in frame:
+        v = batch.column("v")
+        sizes = np.asarray(pc.list_value_length(v))
+        far = [np.empty(0)] * batch.num_rows
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            x = np.asarray(v.take(pa.array(at)).flatten(), dtype=np.float64).reshape(len(at), size)
+            d = np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots[int(size)]], axis=1) if len(pivots.get(int(size), ())) else np.empty((len(at), 0))
+            for i, row in zip(at.tolist(), d, strict=True):
+                far[i] = row
+        ends = np.cumsum([0, *map(len, far)]).astype(np.int32)
+        d = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(far) if far else np.empty(0)))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), v, batch.column("q"), d], names=["id", "v", "q", "d"])
+
+
+def best(unit: pa.Table, k: int) -> Iterator[tuple]:
     """The k best rows (query id, row id, score) of each query within one unit."""
     import numpy as np
 
@@ -104,8 +125,8 @@ def best(unit: pa.Table, pivots: dict, k: int) -> Iterator[tuple]:
         xf, qf = x.astype(np.float64), q.astype(np.float64)
         x2, q2 = (xf * xf).sum(1), (qf * qf).sum(1)
         far = np.zeros((len(q), len(x)))
-        for p in pivots.get(int(size), ()):
-            dx, dq = np.sqrt(((xf - p) ** 2).sum(1)), np.sqrt(((qf - p) ** 2).sum(1))
+        tx, tq = (np.asarray(unit["d"].take(pa.array(ix)).combine_chunks().flatten()).reshape(len(ix), -1) for ix in (at, ask))
+        for dx, dq in zip(tx.T, tq.T, strict=True):
             np.maximum(far, np.abs(dq[:, None] - dx[None, :]), out=far)
         bound = np.minimum((q2[:, None] + x2[None, :] - far * far) / 2, np.sqrt(q2)[:, None] * np.sqrt(x2)[None, :])
         bound += 1e-9 * (q2[:, None] + x2[None, :]) + 1e-6  # rounding of the bound itself

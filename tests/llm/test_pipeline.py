@@ -32,6 +32,25 @@ def test_near_duplicates_keep_the_first_of_each_group(spark, docs):
     assert kept.columns == docs.columns and len(got) == len(set(got)) and {i for i in got if i is not None} == want and None in got
 
 
+def test_every_stage_keeps_columns_of_any_name(spark, docs):
+    names = ["_", "_x", "_id", "_of", "_n", "_k", "_kept", "_times", "_t", "_turn", "_lang", "_score", "_spans", "_lang_pred", "_ids", "_decoded", "x", "s1", "s2", "low", "rep", "class_id", "component", "node", "spans", "kept_text", "taken", "size", "pattern", "__ids", "a.b"]
+    wide = docs.drop("key", "score").select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in cp.STAGES:
+        out = stage(spark, wide, "")
+        assert out.columns[: len(wide.columns)] == wide.columns, name
+        rows = out.collect()
+        assert rows
+        for r in rows:
+            got = dict(zip(out.columns, r, strict=True))
+            assert all(got[n] == (None if got["doc_id"] is None else f"{n}{got['doc_id']}") for n in names), name
+
+
+def test_near_duplicates_with_one_id_for_several_texts(spark):
+    a, b = " ".join(f"alpha{i}" for i in range(20)), " ".join(f"beta{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (2, b, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, "").collect()) == [(1, a), (2, b)]
+
+
 def test_passages_go_and_texts_stay_whole(spark):
     passage = "éàèùçñáíóúâêîôû shared passage that stands in two documents and is longer than a hundred bytes"
     rows = [(1, f"first {passage} end", "en", "s", 5), (2, f"ö{passage}ö second", "en", "s", 5), (3, passage, "en", "s", 5), (4, None, None, None, None), (None, passage, "en", "s", 1)]
