@@ -59,7 +59,7 @@ def ordinal(n: int) -> str:
     return (word if word.endswith("sei") and n % 100 != 16 and n > 6 else word[:-1]) + "esimo"
 
 
-#: Digits with thousands dots and a decimal comma, a comma or a dot decimal, or plain digits.
+# Fixed value: how numbers are written. Digits with thousands dots and a decimal comma, a comma or a dot decimal, or plain digits.
 NUMBER = r"-?(?:\d{1,3}(?:\.\d{3})+(?:,\d+)?|\d+,\d+|\d+\.\d+|\d+)"
 
 
@@ -76,8 +76,9 @@ def parsed(token: str) -> tuple[bool, str, str]:
 
 
 def words(token: str) -> str:
-    """A NUMBER in words: leading zeros of the fraction one by one, the rest as one number."""
+    """A NUMBER in words: leading zeros of the fraction one by one, the rest as one number; zeros at its end are not said."""
     negative, whole, fraction = parsed(token)
+    fraction = fraction.rstrip("0")
     out = cardinal(int(whole))
     if fraction:
         rest = fraction.lstrip("0")

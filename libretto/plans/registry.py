@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from libretto.functions import audio, metrics, rules, sentences, text
-from libretto.functions.numbers_it import cardinal
 from libretto.operators import chapters, chunks, lineage, states, studies, timeline
 from libretto.sources.ast import AstBlocks
 
@@ -231,7 +230,9 @@ def chapter_markers(spark, sf):
     return timeline.markers(_timed(spark, sf), ["conv_id"], "chapter")
 
 
-@query()
+@query(f"""{TIMED}, m AS (SELECT conv_id, chapter, min(start_frame) AS s, max(start_frame + audio_frames) AS e FROM t GROUP BY ALL),
+k2 AS (SELECT conv_id, chapter, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE s END::BIGINT AS a, coalesce(lead(s) OVER w, max(e) OVER (PARTITION BY conv_id))::BIGINT AS b FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY s))
+SELECT conv_id, ';FFMETADATA1' || chr(10) || string_agg('[CHAPTER]' || chr(10) || 'TIMEBASE=1/{RATE}' || chr(10) || 'START=' || a || chr(10) || 'END=' || b || chr(10) || 'title=Part \\#' || (chapter + 1)::INT, chr(10) ORDER BY a) || chr(10) AS ffmetadata FROM k2 GROUP BY conv_id""")
 def chapter_file(spark, sf):
     marks = timeline.markers(_timed(spark, sf), ["conv_id"], "chapter").withColumn("title", F.format_string("Part #%d", F.col("chapter") + 1))
     return timeline.ffmetadata(marks, RATE, "title", "conv_id")
@@ -515,32 +516,6 @@ def rule_counts(spark, sf):
     return rules.normalized(d, "text").select(F.explode("transformations.rule_id").alias("rule_id")).groupBy("rule_id").agg(F.count("*").alias("n"))
 
 
-def _numbers_sql() -> str:
-    rows = ", ".join(f"({n}, '{cardinal(n)}')" for n in range(1, 51))
-    return f"SELECT l_orderkey, l_linenumber, w AS words FROM lineitem JOIN (VALUES {rows}) v(n, w) ON n = l_quantity::INT"
-
-
-@query(_numbers_sql())
-def italian_numbers(spark, sf):
-    x = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
-    names = F.create_map(*(F.lit(v) for n in range(1, 51) for v in (n, cardinal(n))))
-    return x.select("l_orderkey", "l_linenumber", F.element_at(names, F.col("l_quantity").cast("int")).alias("words"))
-
-
-@query()
-def currency_words(spark, sf):
-    x = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
-    t = F.concat(F.lit("Costa € "), F.translate(F.format_string("%.2f", "l_extendedprice"), ".", ","), F.lit("."))
-    return rules.normalized(x.select("l_orderkey", "l_linenumber", t.alias("text")), "text").select("l_orderkey", "l_linenumber", "spoken_text")
-
-
-@query("SELECT doc_id, md5(regexp_replace(regexp_replace(text, 'License', 'licenza', 'gi'), 'rights reserved', 'diritti riservati', 'gi')) AS spoken FROM documents")
-def lexicon_apply(spark, sf):
-    d = table(spark, sf, "documents", "doc_id", "text")
-    t = F.regexp_replace(F.regexp_replace("text", F.lit("(?iu)License"), F.lit("licenza")), F.lit("(?iu)rights reserved"), F.lit("diritti riservati"))
-    return d.select("doc_id", F.md5(t).alias("spoken"))
-
-
 @query("""WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: trunc(x::DOUBLE * 32768)::INT) AS x FROM embeddings)
 SELECT vec_id, len(list_filter(x, lambda v: abs(v) <= 104)) / len(x) AS silence_ratio, len(list_filter(x, lambda v: abs(v) >= 32760)) / len(x) AS clipped_sample_ratio, round(greatest(-120.0, least(0.0, 20 * log10(list_max(list_transform(x, lambda v: abs(v))) / 32768.0))), 6) AS peak_dbfs FROM s""")
 def pcm_heuristics(spark, sf):
@@ -560,3 +535,6 @@ def event_hours(spark, sf):
     """Extension: the batch form of the streaming hourly totals in libretto.streaming."""
     e = table(spark, sf, "events", "event_type", "ts", "value")
     return e.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+from libretto.plans import reviews, speech  # noqa: E402, F401  (they register further queries)

@@ -125,3 +125,15 @@ def loudness(stderr):
     found = F.regexp_extract_all(stderr, F.lit(r"(\{[^{}]*\})"), F.lit(1))
     both = F.filter(found, lambda x: x.contains('"input_i"') & x.contains('"output_i"'))
     return F.from_json(F.try_element_at(both, F.lit(-1)), "input_i string, input_tp string, input_lra string, input_thresh string")
+
+
+def checked_envelopes(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """read_envelopes() with problem: type, payload-checksum, or null. The payload is hashed in the canonical
+    form that write_envelope() gives it, as its text in the file, so nothing is parsed and written anew."""
+    rows = read_envelopes(spark, path)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(path)
+    body = F.regexp_extract(F.decode("content", "UTF-8"), r'(?s)"payload":(.*),"payload_sha256":"[0-9a-f]*"\}\s*$', 1)
+    rows = rows.join(raw.select(F.col("path").alias("_p"), F.sha2(body, 256).alias("_is")), F.col("path") == F.col("_p"))
+    wrong_type = F.lit(False) if kind is None else ~F.col("artifact_type").eqNullSafe(F.lit(kind))
+    problem = F.when(wrong_type, "type").when(~F.col("payload_sha256").eqNullSafe(F.col("_is")), "payload-checksum")
+    return rows.withColumn("problem", problem).drop("_p", "_is")
