@@ -61,14 +61,17 @@ def fenced(text: str) -> str:
     return f"{mark}{pad}{text}{pad}{mark}"
 
 
-def report(title: str, summary: DataFrame, *sections: tuple[str, DataFrame], most: int = 200) -> str:
-    """Markdown: a one-row summary as a list, then tables of result rows; each holds `most` rows at most and says so."""
+def report(title: str, summary: DataFrame, *sections: tuple[str, DataFrame], most: int | None = None) -> str:
+    """Markdown: a one-row summary as a list, then tables of all result rows in their order, fetched a partition
+    at a time; with `most` each holds that many rows and says so."""
     (row,) = summary.limit(1).collect() or ({},)
     out = [f"# {title}", ""] + [f"- {k}: {v}" for k, v in (row.asDict() if row else {}).items()]
     for name, df in sections:
-        rows = df.limit(most + 1).collect()
         out += ["", f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-        out += ["| " + " | ".join(str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |" for r in rows[:most]]
-        if len(rows) > most:
-            out.append(f"\nOnly the first {most} rows are shown.")
+        shown = df if most is None else df.limit(most + 1)
+        for n, r in enumerate(shown.toLocalIterator()):
+            if n == most:
+                out.append(f"\nOnly the first {most} rows are shown.")
+                break
+            out.append("| " + " | ".join(str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |")
     return "\n".join(out) + "\n"
