@@ -188,9 +188,20 @@ def conversation_chunks(spark, sf):
     return chunks.chunked(blocks_of(spark, sf), 120, pack=True)
 
 
-@query()
+@query("""WITH c AS (SELECT conv_id, turn, turn // 3 AS ch, turn // 2 AS pa, text, turn + (turn > 4)::INT AS seq, CASE WHEN turn = 0 THEN 'chapter' ELSE 'paragraph' END AS br FROM conversations),
+w AS (SELECT *, lag(seq) OVER o AS ps, lag(ch) OVER o AS pc, lag(pa) OVER o AS pp, lag(text) OVER o AS pt FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY seq)),
+k AS (SELECT *, CASE WHEN pc IS NULL OR pc <> ch THEN 'chapter' WHEN pp <> pa THEN 'paragraph' WHEN pt LIKE '%:' THEN 'clause' ELSE 'sentence' END AS want FROM w),
+a AS (SELECT conv_id AS book_id, 'c' || turn AS chunk_id, list_concat(list_concat(CASE WHEN seq <> coalesce(ps + 1, 0) THEN ['sequence'] ELSE [] END, CASE WHEN length(text) > 120 THEN ['limit'] ELSE [] END), CASE WHEN br <> want THEN ['break'] ELSE [] END) AS anomalies FROM k)
+SELECT * FROM a WHERE len(anomalies) > 0""")
 def chunk_anomalies(spark, sf):
-    return chunks.anomalies(chunks.chunked(blocks_of(spark, sf), 300), 300).select("book_id", "chunk_id", "anomalies")
+    """Turns as chunks, with a gap in their sequence and breaks that don't follow their chapters and paragraphs."""
+    c = table(spark, sf, "conversations", "conv_id", "turn", "text")
+    kind = F.when(F.col("turn") == 0, "chapter").otherwise("paragraph")
+    rows = c.select(
+        F.col("conv_id").alias("book_id"), F.concat(F.lit("c"), "turn").alias("chunk_id"), F.floor(F.col("turn") / 3).alias("chapter_id"), F.floor(F.col("turn") / 2).alias("paragraph_id"),
+        F.col("turn").alias("sentence_id"), (F.col("turn") + (F.col("turn") > 4).cast("int")).alias("sequence"), F.col("text").alias("spoken_text"), F.struct(kind.alias("break_before")).alias("pause"),
+    )
+    return chunks.anomalies(rows, 120).select("book_id", "chunk_id", "anomalies")
 
 
 PAUSE = """WITH b AS (SELECT conv_id, turn, turn // 3 AS chapter, text, lag(turn // 3) OVER w AS before, lag(trim(text)) OVER w AS said FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
