@@ -146,7 +146,6 @@ RULES: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = (
 )
 
 
-@lru_cache(maxsize=None)
 def _line(notation: str, speech: str) -> tuple[re.Pattern, Callable[[re.Match], str]]:
     """A rule's line, compiled: its pattern, and what a match of it says."""
     pattern = re.compile(re.sub(r"<(\w+):(\w+)>", lambda m: f"(?P<{m[1]}>{SLOTS[m[2]]})", notation))
@@ -160,14 +159,30 @@ def _line(notation: str, speech: str) -> tuple[re.Pattern, Callable[[re.Match],
     return pattern, speak
 
 
+#: What a text must hold for a rule to find anything in it; a cheap search that spares the rule's own.
+NEEDS = {
+    "dehyphenation": "-[ \t]*\n", "latex-cleanup": r"\\|\{,", "latex-operator": r"[\\×·÷≈→]", "latex-script": "[_^]", "equation-fraction": r"\\frac",
+    "date": "/", "section-reference": "(?i)cap|sez|par\\.|§|appendice", "currency-range": "[€$£]", "percentage-range": "%", "range": r"\d\s*[–—-]", "percentage": "%",
+    "currency": "[€$£]", "ratio": "/", "ordinal": "[º°ª]", "abbreviation": r"(?i)(?:ecc|dott|prof|art|n)\.", "decimal": r"\d[,.]\d", "integer": r"\d", "anni-elision": "(?i) anni",
+    "acronym": "[A-Z]{2}",
+}
+_NEEDS = {name: re.compile(needed) for name, needed in NEEDS.items()}
+
+
+@lru_cache(maxsize=None)
+def _lines(name: str) -> tuple[tuple[re.Pattern, Callable[[re.Match], str]], ...]:
+    return tuple(_line(*line) for line in dict(RULES)[name])
+
+
 def ruled(name: str, text: str) -> str:
     """The text after one rule; nested fractions are said from the inside out."""
+    if name in _NEEDS and not _NEEDS[name].search(text):
+        return text
     if name == UNICODE:
         text = unicodedata.normalize("NFC", text)
     while True:
         before = text
-        for line in dict(RULES)[name]:
-            pattern, speak = _line(*line)
+        for pattern, speak in _lines(name):
             text = pattern.sub(speak, text)
         if text == before or name != "equation-fraction":
             return text

@@ -104,3 +104,12 @@ def test_texts_outside_the_filter_are_left_as_they_are(spark):
     assert 300 < sum(not r.hit for r in rows)
     for r in rows:
         assert r.hit or rules.applied(r.t) == (r.t, [], []), r.t
+
+
+def test_a_rule_never_needs_what_its_own_search_does_without(monkeypatch):
+    rng = random.Random(6)
+    pieces = ["3", "12", "4,5", "1.200", "7,50", "/", "-", "--", "–", " ", " ", "%", "€", "$", "º", "ª", "cap.", "Sez.", "§", "a", "C", "_", "^", "{2}", "\\times", "\\frac{a}{b}", "{,}", "·", "-\n", "art.", "N.", "ecc.", "cento anni", "VENTI ANNI", "ABC", "\\quad", "+"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 7))) for _ in range(3000)]
+    quick = [rules.applied(t, equation=True) for t in texts]
+    monkeypatch.setattr(rules, "_NEEDS", {})
+    assert quick == [rules.applied(t, equation=True) for t in texts]
