@@ -142,7 +142,7 @@ RULES: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = (
     ("anni-elision", ((rf"(?i){_OUT}<a:stem>[aio] anni{_IN}", "{a}’anni"),)),
     (LEXICON, ()),
     ("acronym", ((rf"{_OUT}<a:capitals>{_IN}", "{a:spelled}"),)),
-    ("whitespace", ((r"[ \t\r\f\v]+", " "), (" ?\n+ ?", " "), (r"\s+(?=[.,;:!?])", ""), (r"^\s+|\s+\Z", ""))),
+    ("whitespace", ((r"[\t\r\f\v][ \t\r\f\v]*| [ \t\r\f\v]+", " "), (" ?\n+ ?", " "), (r"\s+(?=[.,;:!?])", ""), (r"^\s+|\s+\Z", ""))),
 )
 
 
