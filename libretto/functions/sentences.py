@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +23,11 @@ def sentences(text: Column, at_colons: bool = False) -> Column:
     stops wherever their letters stand, also at the end of a longer word, and come back in lower
     case; so do single capitals before a capital.
     """
-    t = text
-    for a in sorted(ABBREVIATIONS, key=len, reverse=True):
-        t = F.regexp_replace(t, F.lit("(?iu)" + re.escape(a)), F.lit(a.replace(".", HELD)))
+    stems = "|".join(re.escape(a[:-1]) for a in sorted(ABBREVIATIONS, key=len, reverse=True))
+    marked = F.split(F.regexp_replace(text, F.lit(rf"(?iu)(?=.{{1,8}}\.)({stems})\."), F.lit(CUT + "$1" + HELD)), CUT)
+    low = lambda stem: F.translate(F.lower(stem), ".ſ", HELD + "s")
+    piece = lambda p, i: F.when(i == 0, p).otherwise(F.concat(low(F.substring_index(p, HELD, 1)), F.substring(p, F.length(F.substring_index(p, HELD, 1)) + 1, F.length(p))))
+    t = F.array_join(F.transform(marked, piece), "")
     t = F.regexp_replace(t, F.lit(r"(?<![\p{L}\p{N}_])(\p{Lu})\.(?=\s+\p{Lu})"), F.lit("$1" + HELD))
     ends = "[.!?:]" if at_colons else "[.!?]"
     parts = F.split(F.regexp_replace(t, F.lit(rf"({ends})\s+"), F.lit("$1" + CUT)), CUT)
@@ -35,6 +35,12 @@ def sentences(text: Column, at_colons: bool = False) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
+def rows_of(df: DataFrame, column: Column | str, *keep: Column | str, pos: str = "i", value: str = "sentence") -> DataFrame:
+    """A row an element of an array column, with its position. An inner explode would have the optimizer put a filter on the
+    array's size below, which computes the array again; the outer one with a filter behind it doesn't."""
+    return df.select(*keep, F.posexplode_outer(column).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
 #: A sign that may end a part, with the blanks behind it; a comma binds more than the others.
 _SIGN = re.compile(r"([;,:])(?:\s+|$)")
 
@@ -70,17 +76,23 @@ def limited(sentence: str, limit: int) -> list[str]:
     return [*out, rest] if rest else out
 
 
+_LONG, _CUTS = "__long", "__cuts"
+
+
 def limit_split(df: DataFrame, column: str, limit: int, out: str = "parts") -> DataFrame:
-    """df with `out`: for each sentence of the array column its parts (array of arrays)."""
-    keep = [c for c in df.columns if c != out]
-    schema = df.select(keep).schema.add(out, ArrayType(ArrayType(StringType())))
+    """df with `out`: for each sentence of the array column its parts (array of arrays).
+
+    Only sentences beyond the limit cross to Python, each once a row.
+    """
+    long = F.array_distinct(F.filter(column, lambda s: F.length(s) > limit))
 
-    def run(frame: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frame:
-            parts = [None if row is None else [[s] if len(s) <= limit else limited(s, limit) for s in row] for row in batch.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(parts, pa.list_(pa.list_(pa.string())))], names=[*keep, out])
+    @F.arrow_udf(ArrayType(ArrayType(StringType())))
+    def cut(sentences: pa.Array) -> pa.Array:
+        return pa.array([row and [limited(s, limit) for s in row] for row in sentences.to_pylist()], pa.list_(pa.list_(pa.string())))
 
-    return df.mapInArrow(run, schema)
+    found = df.withColumn(_LONG, long).withColumn(_CUTS, cut(_LONG))
+    found = found.withColumn(_CUTS, F.map_from_arrays(_LONG, _CUTS))
+    return found.withColumn(out, F.transform(column, lambda s: F.coalesce(F.try_element_at(_CUTS, s), F.array(s)))).drop(_LONG, _CUTS)
 
 
 def packed(parts: Column, limit: int) -> Column:

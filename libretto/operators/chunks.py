@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from libretto.functions.sentences import limit_split, packed, sentences
+from libretto.functions.sentences import limit_split, packed, rows_of, sentences
 
 # Default pauses in ms.
 PAUSES = {"none": 0, "clause": 150, "sentence": 250, "paragraph": 600, "chapter": 1500}
@@ -30,14 +30,15 @@ def chunked(blocks: DataFrame, limit: int, language: str = "it", at_colons: bool
     texts have as many sentences, else all of the block's display text. `sequence` counts a book's
     chunks from 0: chapters have offsets, so that no window spans a whole book's rows.
     """
-    b = blocks.withColumn("_s", sentences(F.col("spoken_text"), at_colons)).withColumn("_d", sentences(F.col("display_text"), at_colons))
+    b = blocks.withColumn("_s", sentences(F.col("spoken_text"), at_colons))
+    b = b.withColumn("_d", F.when(F.col("display_text") == F.col("spoken_text"), F.col("_s")).otherwise(sentences(F.col("display_text"), at_colons)))
     if pack:
         b = b.withColumn("_u", packed(F.col("_s"), limit))
     else:
         b = b.withColumn("_u", F.transform("_s", lambda s, i: F.struct(s.alias("text"), i.cast("int").alias("first"), i.cast("int").alias("last"))))
     b = limit_split(b.withColumn("_t", F.transform("_u", lambda u: u["text"])), "_t", limit, "_p")
-    units = b.select("*", F.posexplode(F.arrays_zip("_u", "_p")).alias("_n", "_z"))
-    parts = units.select("*", F.posexplode("_z._p").alias("_part", "spoken"))
+    units = rows_of(b, F.arrays_zip("_u", "_p"), "*", pos="_n", value="_z")
+    parts = rows_of(units, F.col("_z._p"), "*", pos="_part", value="spoken")
     first, last = F.col("_z._u.first"), F.col("_z._u.last")
     name = F.when(first == last, F.format_string("s%04d", first)).otherwise(F.format_string("s%04d-s%04d", first, last))
     same = F.size("_s") == F.size("_d")
@@ -53,7 +54,7 @@ def chunked(blocks: DataFrame, limit: int, language: str = "it", at_colons: bool
     rows = rows.join(counts, ["book_id", "chapter_order"]).withColumn("_k", F.row_number().over(order))
     before = F.lag("spoken_text").over(order)
     kind = (
-        F.when(F.col("_k") == 1, F.when((F.col("_before") == 0) & F.lit(False), "none").otherwise("chapter"))
+        F.when(F.col("_k") == 1, "chapter")
         .when(F.lag("paragraph_id").over(order) != F.col("paragraph_id"), "paragraph")
         .when(F.col("_part") > 0, "none")
         .when(before.endswith(":"), "clause")

@@ -32,7 +32,8 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    """All of them, the flagship first."""
+    return {"chunk_manifest": QUERIES["chunk_manifest"]} | QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
@@ -55,15 +56,6 @@ def blocks_of(spark: SparkSession, sf: str) -> DataFrame:
     ).where("display_text <> ''")
 
 
-@query()
-def chunk_manifest(spark, sf):
-    """Documents as one-chapter books, chunked at 300 characters: ids, pauses and content hashes (flagship)."""
-    d = table(spark, sf, "documents", "doc_id", "text")
-    t = text.cleaned(F.col("text"))
-    b = d.select(F.col("doc_id").alias("book_id"), F.lit("chapter-0001").alias("chapter_id"), F.lit(0).alias("chapter_order"), F.lit("block-000001").alias("block_id"), F.lit(0).alias("block_pos"), t.alias("display_text"), t.alias("spoken_text"))
-    return chunks.chunked(b.where("display_text <> ''"), 300)
-
-
 # ---- text functions
 
 CLEAN = r"""regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([€$£])(\p{L})', '\1 \2', 'g')"""
@@ -151,28 +143,77 @@ def _sentences(spark, sf):
 
 @query(f"SELECT doc_id, i - 1 AS i, s AS sentence FROM (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM ({SPLIT}))")
 def sentence_split(spark, sf):
-    return _sentences(spark, sf).select("doc_id", F.posexplode("ss").alias("i", "sentence")).withColumn("i", F.col("i").cast("long"))
+    return sentences.rows_of(_sentences(spark, sf), "ss", "doc_id").withColumn("i", F.col("i").cast("long"))
 
 
 @query(f"""WITH s AS (SELECT lang, length(unnest(ss))::INT AS n FROM ({SPLIT})), l AS (SELECT lang, list_sort(list(n)) AS v FROM s GROUP BY lang)
 SELECT lang, len(v)::BIGINT AS n, v[1] AS shortest, v[-1] AS longest, len(list_filter(v, lambda x: x >= 300))::BIGINT AS at_limit, v[((len(v) - 1) * 50 + 99) // 100 + 1] AS median, v[((len(v) - 1) * 95 + 99) // 100 + 1] AS p95 FROM l""")
 def chunk_length_stats(spark, sf):
-    s = _sentences(spark, sf).select("lang", F.explode("ss").alias("s"))
+    s = sentences.rows_of(_sentences(spark, sf), "ss", "lang", value="s")
     return chunks.length_stats(s, F.length("s"), 300, "lang")
 
 
 @query(f"SELECT lang, CASE WHEN n < 20 THEN 'short' ELSE 'near character limit' END AS outlier, count(*) AS n FROM (SELECT lang, length(unnest(ss)) AS n FROM ({SPLIT})) WHERE n < 20 OR n >= 270 GROUP BY ALL")
 def chunk_outliers(spark, sf):
-    s = _sentences(spark, sf).select("lang", F.explode("ss").alias("s"))
+    s = sentences.rows_of(_sentences(spark, sf), "ss", "lang", value="s")
     return chunks.outliers(s, F.length("s"), 300).groupBy("lang", "outlier").agg(F.count("*").alias("n"))
 
 
-@query()
+def _parts_sql(keys: str, units: str, limit: int) -> str:
+    """CTEs that end in parts (keys, f, part, spoken): the units (keys, f, u) of a query cut by the rules of cut_at."""
+    ends = f"list_filter(range(2, {limit + 1}), lambda e: substr(rest, e, 1) = ' ' AND substr(rest, e - 1, 1) IN (';', ':', ','))"
+    halves = f"list_filter(ends, lambda e: e >= {limit // 4} AND n - e BETWEEN {limit // 4} AND {limit})"
+    best = f"list_sort(list_transform({halves}, lambda e: {{'weak': (substr(rest, e - 1, 1) = ',')::INT, 'off': abs(2 * e - n), 'cut': e}}))[1]['cut']"
+    blank = f"list_max(list_filter(range(2, {limit + 2}), lambda q: substr(rest, q, 1) = ' ')) - 1"
+    return f"""cuts AS (SELECT {keys}, f, 0 AS part, NULL::VARCHAR AS spoken, u AS rest FROM ({units})
+    UNION ALL SELECT {keys}, f, part + 1, trim(substr(rest, 1, cut::INT)), trim(substr(rest, cut::INT + 1)) FROM (SELECT *, coalesce({best}, ends[-1], {blank}) AS cut FROM
+    (SELECT *, length(rest) AS n, {ends} AS ends FROM cuts WHERE length(rest) > {limit}))),
+parts AS (SELECT {keys}, f, part - 1 AS part, spoken FROM cuts WHERE part > 0 UNION ALL SELECT {keys}, f, part, rest FROM cuts WHERE length(rest) <= {limit} AND rest <> '')"""
+
+
+@query(f"""WITH RECURSIVE {_parts_sql("doc_id", f"SELECT doc_id, unnest(ss) AS u, generate_subscripts(ss, 1) AS f FROM ({SPLIT})", 300)}
+SELECT doc_id, (SELECT count(*) FROM parts WHERE parts.doc_id = d.doc_id)::INT AS n_parts, (SELECT count(*) FILTER (part > 0) FROM parts WHERE parts.doc_id = d.doc_id)::INT AS forced_splits FROM documents d WHERE text IS NOT NULL""")
 def limit_split(spark, sf):
-    out = sentences.limit_split(_sentences(spark, sf), "ss", 300)
+    out = sentences.limit_split(_sentences(spark, sf).where("ss is not null"), "ss", 300)
     return out.select("doc_id", F.size(F.flatten("parts")).alias("n_parts"), F.aggregate("parts", F.lit(0), lambda n, p: n + F.size(p) - 1).alias("forced_splits"))
 
 
+KEYS = "book_id, chapter_order, block_pos"
+#: Units of blocks (KEYS, ss), each a sentence.
+ALONE = f"SELECT {KEYS}, unnest(ss) AS u, generate_subscripts(ss, 1) - 1 AS f, generate_subscripts(ss, 1) - 1 AS l FROM blocks"
+
+
+def _packs_sql(limit: int) -> str:
+    """CTE packs: units of blocks, each as many neighbouring sentences as fit."""
+    return f"""packs AS (SELECT {KEYS}, ss, 1 AS i, ss[1] AS u, 0 AS f, 0 AS l FROM blocks WHERE len(ss) > 0
+    UNION ALL SELECT {KEYS}, ss, i + 1, CASE WHEN fits THEN u || ' ' || n ELSE n END, CASE WHEN fits THEN f ELSE i END, i FROM (SELECT *, ss[i + 1] AS n, length(u) + 1 + length(ss[i + 1]) <= {limit} AS fits FROM packs WHERE i < len(ss)))"""
+
+
+def _chunks_sql(blocks: str, units: str, limit: int, before: str = "") -> str:
+    """Chunks of blocks (KEYS, block_id, ss), their pauses in two columns."""
+    return f"""WITH RECURSIVE blocks AS ({blocks}), {before} units AS ({units}), {_parts_sql(KEYS, "SELECT * FROM units", limit)},
+c AS (SELECT book_id, chapter_order, block_pos, f, part, spoken, u, printf('chapter-%04d', (chapter_order + 1)::INT) AS chapter_id, block_id, block_id || '.s' || printf('%04d', f::INT) || CASE WHEN l > f THEN '-s' || printf('%04d', l::INT) ELSE '' END AS sentence_id
+    FROM parts JOIN units USING ({KEYS}, f) JOIN blocks USING ({KEYS})),
+w AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY chapter_order, block_pos, f, part) - 1 AS sequence, lag(block_pos) OVER o AS pb, lag(spoken) OVER o AS ps FROM c WINDOW o AS (PARTITION BY book_id, chapter_order ORDER BY block_pos, f, part)),
+k AS (SELECT *, CASE WHEN pb IS NULL THEN 'chapter' WHEN pb <> block_pos THEN 'paragraph' WHEN part > 0 THEN 'none' WHEN ps LIKE '%:' THEN 'clause' ELSE 'sentence' END AS break_before FROM w)
+SELECT book_id, sentence_id || '.p' || printf('%04d', part::INT) AS chunk_id, chapter_id, block_id AS paragraph_id, sentence_id, sequence::INT AS sequence, u AS display_text, spoken AS spoken_text, 'it' AS expected_language, break_before,
+CASE break_before WHEN 'none' THEN 0 WHEN 'clause' THEN 150 WHEN 'sentence' THEN 250 WHEN 'paragraph' THEN 600 ELSE 1500 END AS duration_ms,
+sha256('{{"chapter_id":"' || chapter_id || '","expected_language":"it","paragraph_id":"' || block_id || '","sentence_id":"' || sentence_id || '","spoken_text":' || to_json(spoken)::VARCHAR || '}}') AS content_sha256 FROM k"""
+
+
+def _flat(rows: DataFrame) -> DataFrame:
+    return rows.select(*(c for c in rows.columns if c != "pause"), "pause.*")
+
+
+@query(_chunks_sql(f"SELECT doc_id AS book_id, 0 AS chapter_order, 0 AS block_pos, 'block-000001' AS block_id, ss FROM ({SPLIT})", ALONE, 300))
+def chunk_manifest(spark, sf):
+    """Documents as one-chapter books, chunked at 300 characters: ids, pauses and content hashes (flagship)."""
+    d = table(spark, sf, "documents", "doc_id", "text")
+    t = text.cleaned(F.col("text"))
+    b = d.select(F.col("doc_id").alias("book_id"), F.lit("chapter-0001").alias("chapter_id"), F.lit(0).alias("chapter_order"), F.lit("block-000001").alias("block_id"), F.lit(0).alias("block_pos"), t.alias("display_text"), t.alias("spoken_text"))
+    return _flat(chunks.chunked(b.where("display_text <> ''"), 300))
+
+
 @query(f"""WITH RECURSIVE s AS (SELECT doc_id, ss FROM ({SPLIT}) WHERE len(ss) > 0),
 p AS (SELECT doc_id, ss, 1 AS i, length(ss[1]) AS cur, 1 AS units, length(ss[1]) AS longest FROM s
     UNION ALL SELECT doc_id, ss, i + 1, CASE WHEN fits THEN cur + 1 + n ELSE n END, units + CASE WHEN fits THEN 0 ELSE 1 END, greatest(longest, CASE WHEN fits THEN cur + 1 + n ELSE n END)
@@ -183,9 +224,9 @@ def pack_sentences(spark, sf):
     return out.select("doc_id", F.size("u").alias("units"), F.array_max(F.transform("u", lambda u: F.length(u["text"]))).alias("longest"))
 
 
-@query()
+@query(_chunks_sql(f"SELECT conv_id AS book_id, turn // 3 AS chapter_order, turn AS block_pos, printf('block-%06d', turn::INT) AS block_id, {_split_sql(CLEAN)} AS ss FROM conversations", "SELECT * FROM packs QUALIFY row_number() OVER (PARTITION BY book_id, chapter_order, block_pos, f ORDER BY l DESC) = 1", 120, _packs_sql(120) + ","))
 def conversation_chunks(spark, sf):
-    return chunks.chunked(blocks_of(spark, sf), 120, pack=True)
+    return _flat(chunks.chunked(blocks_of(spark, sf), 120, pack=True))
 
 
 @query("""WITH c AS (SELECT conv_id, turn, turn // 3 AS ch, turn // 2 AS pa, text, turn + (turn > 4)::INT AS seq, CASE WHEN turn = 0 THEN 'chapter' ELSE 'paragraph' END AS br FROM conversations),

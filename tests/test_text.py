@@ -1,6 +1,7 @@
 """Sentences, limits, packing, metrics and small text functions."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,22 @@ def test_audio():
     assert audio.wav_problem(data, rate) == (len(pcm) // 2, None)
     assert audio.wav_problem(data, 8000)[1] == "sample-rate" and audio.wav_problem(data[:-10], rate)[1] and audio.wav_problem(b"x", rate)[1]
     assert audio.pcm_quality(b"\x00\x00" * 3) == (1.0, 0.0, -120.0)
+
+
+def test_abbreviations_agree_with_one_replacement_after_the_other(spark):
+    def slowly(text):
+        for a in sorted(sentences.ABBREVIATIONS, key=len, reverse=True):
+            text = re.sub(re.escape(a), a.replace(".", "§"), text, flags=re.IGNORECASE)
+        return [p.replace("§", ".").strip() for p in re.sub(r"([.!?])\s+", r"\1|", text).split("|") if p.strip()]
+
+    texts = ["La DOTT.SSA. Neri parla. Poi il Dott. Ssa. tace. Fine", "sig.ra. e Sig.na. e sig. x. ok", "n. 4. pagN. 5 ECſ. fine. Eſ. b", ".n.n. ca.es. vs. z", "", "secc. ecc.ecc. a! b? c", "prof.ssa prof.ssa. PROF. x"]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    got = dict(map(tuple, df.select("n", sentences.sentences(F.col("t"))).collect()))
+    assert [got[n] for n in range(len(texts))] == [slowly(t) for t in texts]
+
+
+def test_limit_split_sends_long_sentences_alone(spark):
+    rows = [(0, ["uno due", "x" * 9 + ", " + "y" * 9, "uno due", "x" * 9 + ", " + "y" * 9]), (1, []), (2, None)]
+    df = spark.createDataFrame(rows, "n int, ss array<string>")
+    got = dict(map(tuple, sentences.limit_split(df, "ss", 15).select("n", "parts").collect()))
+    assert got == {0: [["uno due"], ["x" * 9 + ",", "y" * 9]] * 2, 1: [], 2: None}
