@@ -346,7 +346,7 @@ def scope_contiguity(spark, sf):
     return c.groupBy("conv_id").agg(F.count(inside).alias("asked"), F.coalesce(F.max(inside) - F.min(inside) + 1 == F.count(inside), F.lit(False)).alias("contiguous"))
 
 
-@query()
+@query(r"""SELECT conv_id, turn, 0 AS pos, CASE role WHEN 'user' THEN 'quotation' ELSE 'paragraph' END AS kind, length(t)::INT AS n FROM (SELECT *, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM conversations) WHERE t <> ''""")
 def ast_blocks(spark, sf):
     c = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     inline = F.transform(F.split(F.trim("text"), " +"), lambda w: F.struct(F.lit("Str").alias("t"), w.alias("c")))
@@ -501,7 +501,16 @@ def cer_micro_average(spark, sf):
     return metrics.scored(_pairs(spark, sf), "a", "b").agg(metrics.micro_average("cer").alias("cer"))
 
 
-@query()
+#: The weighted distance of metrics.edits, a row of its table at a time; minima up to each column stand for insertions.
+WER = f"""WITH RECURSIVE p AS (SELECT item_id, list_filter(string_split(a, ' '), lambda w: w <> '') AS x, list_filter(string_split(b, ' '), lambda w: w <> '') AS y FROM ({PAIRS})),
+d AS (SELECT *, len(x) + len(y) + 1 AS k, 0 AS i, list_transform(range(0, len(y) + 1), lambda j: j * (len(x) + len(y) + 2)) AS r FROM p
+    UNION ALL SELECT item_id, x, y, k, i + 1, list_transform(range(1, len(z) + 1), lambda j: list_min(z[1:j]) + (j - 1) * (k + 1)) FROM
+    (SELECT *, list_transform(range(1, len(r) + 1), lambda j: CASE WHEN j = 1 THEN r[1] + k + 1 ELSE least(r[j - 1] + CASE WHEN y[j - 1] = x[i + 1] THEN 0 ELSE k END, r[j] + k + 1) END - (j - 1) * (k + 1)) AS z FROM d WHERE i < len(x))),
+e AS (SELECT item_id, len(x) AS n, len(y) AS m, r[-1] // k AS total, r[-1] % k AS gaps FROM d WHERE i = len(x))
+SELECT item_id, (total - gaps)::INT AS substitutions, ((gaps + n - m) // 2)::INT AS deletions, ((gaps - n + m) // 2)::INT AS insertions, n::INT AS denominator, CASE WHEN n > 0 THEN total / n ELSE total END AS rate FROM e"""
+
+
+@query(WER)
 def wer_counts(spark, sf):
     return metrics.scored(_pairs(spark, sf), "a", "b").select("item_id", "wer.*")
 

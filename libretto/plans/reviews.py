@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from libretto.functions.text import word_count
-from libretto.operators import assembly, reviews, timeline
+from libretto.operators import assembly, engines, reviews, timeline
+from libretto.plans import stages
 from libretto.plans.registry import query, table
 
 _KIND = "CASE role WHEN 'system' THEN 'heading' WHEN 'user' THEN 'paragraph' ELSE 'quote' END"
@@ -106,3 +107,31 @@ def paths_and_levels(spark, sf):
     paths = reviews.generation_paths(chunk, F.lit("k"))
     d = table(spark, sf, "documents", "doc_id")
     return d.select("doc_id", reviews.chapter_level(source).alias("level"), reviews.attempt_path(chunk, F.lit("g"), F.lit("k")).alias("attempt"), paths["audio"].alias("audio"), paths["failure"].alias("failure"))
+
+
+@query("""WITH c AS (SELECT o_orderkey, 20000 + 4000 * (o_orderkey % 3 = 0)::INT AS rate, o_orderpriority, o_custkey, o_orderkey % 5 AS seed FROM orders)
+SELECT o_orderkey, CASE WHEN rate <> 24000 THEN 'sample-rate' WHEN length(o_orderpriority) > 8 THEN 'text-length' WHEN o_custkey % 4 = 0 THEN 'reference-voice' WHEN o_custkey % 4 <> 1 THEN 'unknown-voice' WHEN seed <> 0 THEN 'seed' END AS refused FROM c""")
+def engine_requests(spark, sf):
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderpriority", "o_custkey")
+    n = F.col("o_custkey") % 4
+    o = o.select(
+        "o_orderkey", F.col("o_orderpriority").alias("spoken_text"), (F.lit(20000) + F.when(F.col("o_orderkey") % 3 == 0, 4000).otherwise(0)).alias("sample_rate_hz"), n.cast("string").alias("voice_id"),
+        F.when(n == 0, "a.wav").alias("reference_path"), (F.col("o_orderkey") % 5).alias("seed"), F.lit(1.0).alias("speed"), F.lit(None).cast("double").alias("temperature"),
+    )
+    return o.select("o_orderkey", engines.refused(engines.Capabilities("e", "m", 24000, 8, named_voices=("0", "1"), seed=False)).alias("refused"))
+
+
+@query("""WITH b AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM conversations),
+g AS (SELECT *, count(*) FILTER (turn % 3 = 0) OVER (PARTITION BY conv_id ORDER BY turn) AS part, last_value(CASE WHEN turn % 3 = 0 THEN t END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS title FROM b)
+SELECT conv_id AS book_id, pos::INT AS pos, printf('chapter-%04d', dense_rank() OVER (PARTITION BY conv_id ORDER BY part)::INT) AS chapter_id, coalesce(title, 'Front matter') AS chapter_title, printf('block-%06d', row_number() OVER (PARTITION BY conv_id ORDER BY pos)::INT) AS block_id,
+CASE WHEN turn % 3 = 0 THEN 'heading' WHEN role = 'user' THEN 'quotation' ELSE 'paragraph' END AS kind, md5(t) AS text_md5 FROM g""")
+def ingest_blocks(spark, sf):
+    """A conversation's turns as one document AST: every third a heading, a user's other turns quotations."""
+    c = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    words = F.transform(F.split(F.trim("text"), " +"), lambda w: F.to_json(F.struct(F.lit("Str").alias("t"), w.alias("c"))))
+    para = F.concat(F.lit('{"t":"Para","c":['), F.array_join(words, ',{"t":"Space"},'), F.lit("]}"))
+    head = F.concat(F.lit('{"t":"Header","c":[1,["",[],[]],['), F.array_join(words, ',{"t":"Space"},'), F.lit("]]}"))
+    block = F.when(F.col("turn") % 3 == 0, head).when(F.col("role") == "user", F.concat(F.lit('{"t":"BlockQuote","c":['), para, F.lit("]}"))).otherwise(para)
+    turns = F.array_sort(F.collect_list(F.struct("turn", block.alias("j"))))
+    books = c.groupBy(F.col("conv_id").alias("book_id")).agg(F.concat(F.lit('{"blocks":['), F.array_join(F.transform(turns, lambda x: x["j"]), ","), F.lit("]}")).alias("ast"))
+    return stages.ingest(books)[0].select("book_id", "pos", "chapter_id", "chapter_title", "block_id", "kind", F.md5("display_text").alias("text_md5"))

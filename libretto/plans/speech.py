@@ -105,3 +105,21 @@ def rule_words(spark, sf):
     t = F.concat(F.lit("per "), F.when(n == 0, "100").when(n == 1, "venti").when(n == 2, "settanta").otherwise("tanti"), F.lit(" anni di "), F.when(n % 2 == 0, "ABM").otherwise("ABMNPQR"))
     d = table(spark, sf, "documents", "doc_id")
     return rules.normalized(d.withColumn("text", t), "text", only=("integer", "anni-elision", "acronym")).select("doc_id", "spoken_text")
+
+
+_LETTERS = "['a','bi','ci','di','e','effe','gi','acca','i','i lunga','cappa','elle','emme','enne','o','pi','cu','erre','esse','ti','u','vi','doppia vu','ics','ipsilon','zeta']"
+
+
+def _letter(n: str) -> str:
+    return f"{_LETTERS}[(({n}) % 26 + 1)::INT]"
+
+
+@query(f"""SELECT p_partkey, {_letter("p_partkey")} || ' diviso ' || p_partkey || ' più ' || {_letter("p_partkey // 26")} || ' elevato alla ' || p_partkey % 7 || ' uguale a ' || {_letter("p_partkey // 7")} || ' con pedice ' || {_letter("p_partkey // 5")} || ' meno ' || {_letter("p_partkey // 3")} || ' per ' || {_letter("p_partkey // 11")} || ' diviso ' || {_letter("p_partkey // 13")} AS spoken FROM part""")
+def rule_equation(spark, sf):
+    """Scripts, fractions, operators and identifiers, in equations made of a part's number."""
+    n = F.col("p_partkey")
+    letter = lambda c: F.char(F.lit(97) + F.floor(c).cast("long") % 26)
+    pieces = [F.lit("\\frac{"), letter(n), F.lit("}{"), n.cast("string"), F.lit("} + "), letter(n / 26), F.lit("^"), (n % 7).cast("string"), F.lit(" = "), letter(n / 7), F.lit("_{"), letter(n / 5), F.lit("} - "), letter(n / 3), F.lit(" * "), letter(n / 11), F.lit("/"), letter(n / 13)]
+    d = table(spark, sf, "part", "p_partkey").select("p_partkey", F.concat(*pieces).alias("t"), F.lit("equation").alias("kind"))
+    only = ("latex-script", "equation-fraction", "equation-operators", "equation-identifiers", "whitespace")
+    return rules.normalized(d, "t", kind="kind", only=only).select("p_partkey", F.col("spoken_text").alias("spoken"))
