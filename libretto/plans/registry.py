@@ -220,8 +220,9 @@ p AS (SELECT doc_id, ss, 1 AS i, length(ss[1]) AS cur, 1 AS units, length(ss[1])
     FROM (SELECT *, length(ss[i + 1]) AS n, cur + 1 + length(ss[i + 1]) <= 300 AS fits FROM p WHERE i < len(ss)))
 SELECT doc_id, units::INT AS units, longest::INT AS longest FROM p WHERE i = len(ss)""")
 def pack_sentences(spark, sf):
-    out = _sentences(spark, sf).where(F.size("ss") > 0).withColumn("u", sentences.packed(F.col("ss"), 300))
-    return out.select("doc_id", F.size("u").alias("units"), F.array_max(F.transform("u", lambda u: F.length(u["text"]))).alias("longest"))
+    found = _sentences(spark, sf).withColumn("u", sentences.packed(F.col("ss"), 300))
+    both = F.struct(F.size("u").alias("units"), F.array_max(F.transform("u", lambda u: F.length(u["text"]))).alias("longest"))
+    return sentences.rows_of(found, F.array(both), "doc_id", value="x").select("doc_id", "x.units", "x.longest").where("units > 0")
 
 
 @query(_chunks_sql(f"SELECT conv_id AS book_id, turn // 3 AS chapter_order, turn AS block_pos, printf('block-%06d', turn::INT) AS block_id, {_split_sql(CLEAN)} AS ss FROM conversations", "SELECT * FROM packs QUALIFY row_number() OVER (PARTITION BY book_id, chapter_order, block_pos, f ORDER BY l DESC) = 1", 120, _packs_sql(120) + ","))
